@@ -408,7 +408,7 @@ UNION ALL SELECT 'payments', count(DISTINCT payment_id) FROM late""",
     "graph_shared_devices_all": _sql(TO_GRAPH, _shared_devices("SELECT * FROM used_on")),
     "graph_multi_country_cards": _sql(TO_GRAPH, _multi_country("late", 4)),
     "graph_multi_country_cards_all": _sql(TO_GRAPH, _multi_country("gold", 3)),
-    "graph_risky_merchants": _sql(TO_GRAPH, _risky_merchants("late", 50, 60)),
+    "graph_risky_merchants": _sql(TO_GRAPH, _risky_merchants("late", 38, 48)),
     "graph_risky_merchants_all": _sql(TO_GRAPH, _risky_merchants("gold", 2, 3)),
     "graph_device_clusters": _sql(TO_GRAPH, _device_clusters("late")),
     "graph_device_clusters_all": _sql(TO_GRAPH, _device_clusters("gold")),

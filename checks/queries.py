@@ -283,15 +283,15 @@ QUERIES: dict[str, Query] = {
     "graph_upsert": _on(lambda l: l.store().nodes["payments"]),
     "graph_upsert_merchants": _on(lambda l: l.store().nodes["merchants"]),
     "graph_upsert_edges": _on(lambda l: _edge_rows(l.store().edges)),
-    "graph_key_violations": _on(lambda l: graph.key_violations(l.store())),
-    "graph_shared_devices": _on(lambda l: graph.shared_devices(l.store(), "late")),
-    "graph_shared_devices_all": _on(lambda l: graph.shared_devices(l.store())),
-    "graph_multi_country_cards": _on(lambda l: graph.multi_country_cards(l.store(), "late", 4)),
-    "graph_multi_country_cards_all": _on(lambda l: graph.multi_country_cards(l.store())),
-    "graph_risky_merchants": _on(lambda l: graph.risky_merchants(l.store(), "late", 50, 60)),
-    "graph_risky_merchants_all": _on(lambda l: graph.risky_merchants(l.store())),
-    "graph_device_clusters": _on(lambda l: graph.device_clusters(l.store(), "late")),
-    "graph_device_clusters_all": _on(lambda l: graph.device_clusters(l.store())),
+    "graph_key_violations": _on(lambda l: graph.key_violations(l.stored_graph)),
+    "graph_shared_devices": _on(lambda l: graph.shared_devices(l.stored_graph, "late")),
+    "graph_shared_devices_all": _on(lambda l: graph.shared_devices(l.stored_graph)),
+    "graph_multi_country_cards": _on(lambda l: graph.multi_country_cards(l.stored_graph, "late", 4)),
+    "graph_multi_country_cards_all": _on(lambda l: graph.multi_country_cards(l.stored_graph)),
+    "graph_risky_merchants": _on(lambda l: graph.risky_merchants(l.stored_graph, "late", 38, 48)),
+    "graph_risky_merchants_all": _on(lambda l: graph.risky_merchants(l.stored_graph)),
+    "graph_device_clusters": _on(lambda l: graph.device_clusters(l.stored_graph, "late")),
+    "graph_device_clusters_all": _on(lambda l: graph.device_clusters(l.stored_graph)),
     "training_set": _on(lambda l: training.training_set(l.consolidated)),
     "training_text": _on(lambda l: training.labelled(l.gold).select("payment_id", feature_text().alias("text"))),
     "label_distribution": _on(lambda l: training.label_distribution(training.labelled(l.consolidated))),

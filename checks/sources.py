@@ -71,6 +71,15 @@ class Layers:
         early, late = self.snapshot("early", EARLY), self.snapshot("late", LATE)
         return graph.load_snapshot(early, late, "late")
 
+    @cached_property
+    def stored_graph(self) -> graph.Graph:
+        """The accumulated node and edge tables, written once as a graph load does."""
+        built = self.store()
+        return graph.Graph(
+            {label: stage(df, label) for label, df in built.nodes.items()},
+            {name: stage(df, name) for name, df in built.edges.items()},
+        )
+
 
 _layers: dict[tuple[str, str], Layers] = {}
 

@@ -93,11 +93,10 @@ def nodes(rows: DataFrame, graph_name: str) -> dict[str, DataFrame]:
     Attributes of merchants and payments come from their latest row. All
     aggregates combine per map task, so a hub key stays one row per task.
     """
-    latest = F.struct("event_time", "payment_id")
     merchants = (
         rows.filter(F.col("merchant_id").isNotNull())
         .groupBy("merchant_id")
-        .agg(F.max_by(F.struct("country", "mcc"), latest).alias("last"))
+        .agg(F.max(F.struct("event_time", "payment_id", "country", "mcc")).alias("last"))
         .select("merchant_id", "last.country", "last.mcc")
     )
     attributes = {
@@ -112,12 +111,12 @@ def nodes(rows: DataFrame, graph_name: str) -> dict[str, DataFrame]:
         "is_alert": F.coalesce("is_alert", F.lit(False)),
         "ip": F.col("ip"),
     }
+    row = F.struct(F.col("event_time").alias("_at"), F.struct(*[c.alias(n) for n, c in attributes.items()]).alias("row"))
     payments = (
         rows.filter(F.col("payment_id").isNotNull())
-        .select("payment_id", F.col("event_time").alias("_at"), F.struct(*[c.alias(n) for n, c in attributes.items()]).alias("row"))
         .groupBy("payment_id")
-        .agg(F.max_by("row", F.struct("_at", "row")).alias("row"))
-        .select("payment_id", "row.*", F.lit(graph_name).alias("graph_name"))
+        .agg(F.max(row).alias("last"))
+        .select("payment_id", "last.row.*", F.lit(graph_name).alias("graph_name"))
     )
     return {
         "customers": _distinct_keys(rows, "customer_id"),

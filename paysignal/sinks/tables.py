@@ -76,18 +76,26 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length").filter(F.col("path").endswith(".parquet"))
 
 
-def compact_folder(spark: SparkSession, source: str, target: str, file_bytes: int = DEFAULT_FILE_BYTES) -> DataFrame:
+def compact_folder(spark: SparkSession, source: str, target: str, file_bytes: int = DEFAULT_FILE_BYTES,
+                   partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Rewrite the Parquet files of ``source`` as files of about ``file_bytes``.
 
-    The scan itself packs small files (and splits big ones) into read partitions
-    of the wanted size, and each becomes one output file: no shuffle.
+    Without partition columns the scan itself packs small files (and splits big
+    ones) into read partitions of the wanted size, each becoming one output
+    file: no shuffle. With them, rows are rebalanced by partition value, where a
+    big value is split over several tasks.
     """
     packed = spark.newSession()
     packed.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     packed.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
     packed.conf.set("spark.sql.files.openCostInBytes", "0")
     packed.conf.set("spark.sql.files.minPartitionNum", "1")
-    packed.read.parquet(source).write.parquet(target)
+    packed.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
+    rows = packed.read.parquet(source)
+    if partition_by:
+        rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(target)
+    else:
+        rows.write.parquet(target)
     return spark.read.parquet(target)
 
 

@@ -29,7 +29,7 @@ def payments_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     micros = F.unix_micros(F.col("ts").cast("timestamp")) - EPOCH_START * 1_000_000
     base = events.select(
         "event_id", "user_id", "value", "event_type",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.from_json("props", "k int")["k"].alias("k"),
         (F.lit(EPOCH_START) + F.floor(micros / (TIME_COMPRESSION * 1_000_000))).alias("s"),
     ).withColumn(
         "country",
