@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paysignal.operators.joins import attach_to_hubs
+
 
 def _page_of(member: Column, pages: Column) -> Column:
     spread = F.conv(F.substring(F.md5(member), 1, 8), 16, 10).cast("long")
@@ -29,7 +31,7 @@ def paged_members(
     totals = pairs.groupBy(key).agg(F.count(F.lit(1)).alias(total)).filter(F.col(total) >= min_total)
     pages = F.ceil(F.col(total) / page_size)
     return (
-        pairs.join(totals, key)
+        attach_to_hubs(pairs, totals, key)
         .withColumn("page", _page_of(F.col(member), pages))
         .groupBy(key, total, "page")
         .agg(F.sort_array(F.collect_list(member)).alias(members))
@@ -46,7 +48,7 @@ def reach_count(links: DataFrame, leaves: DataFrame, group: str, via: str, leaf:
     """
     degree = leaves.groupBy(leaf).agg(F.count(F.lit(1)).alias("_vias"), F.min(via).alias(via))
     single = degree.filter("_vias = 1").groupBy(via).agg(F.count(F.lit(1)).alias("_leaves"))
-    by_sum = links.join(single, via).groupBy(group).agg(F.sum("_leaves").alias("_leaves"))
+    by_sum = attach_to_hubs(links, single, via).groupBy(group).agg(F.sum("_leaves").alias("_leaves"))
     several = leaves.join(degree.filter("_vias > 1").select(leaf), leaf, "left_semi")
     by_set = (
         links.join(several, via)

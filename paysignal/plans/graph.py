@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paysignal.functions.columns import in_time_range, is_timestamp
+from paysignal.operators.joins import keep_known
 from paysignal.operators.reach import paged_members, reach_count
 
 # Staging columns with type and default (no default: required).
@@ -136,12 +137,8 @@ def resolve_edges(edge_tables: dict[str, DataFrame], node_tables: dict[str, Data
     """Drop edges whose endpoints do not both exist."""
     resolved = {}
     for name, source_label, source, target_label, target in EDGE_TYPES:
-        resolved[name] = (
-            edge_tables[name]
-            .join(node_tables[source_label].select(source), source, "left_semi")
-            .join(node_tables[target_label].select(target), target, "left_semi")
-            .select(source, target)
-        )
+        from_known = keep_known(edge_tables[name], node_tables[source_label], source)
+        resolved[name] = keep_known(from_known, node_tables[target_label], target).select(source, target)
     return resolved
 
 
@@ -229,7 +226,7 @@ def shared_devices(graph: Graph, graph_name: str | None = None, min_cards: int =
             .select("card_id")
             .distinct()
         )
-        used = used.join(seen, "card_id", "left_semi")
+        used = keep_known(used, seen, "card_id")
     return paged_members(used, "device_id", "card_id", "total_cards", "cards", min_cards, page_size).orderBy(
         F.desc("total_cards"), "device_id", "page"
     )
@@ -253,13 +250,13 @@ def risky_merchants(graph: Graph, graph_name: str | None = None, min_customers:
     distinct (merchant, card) pairs before owners are looked at.
     """
     owners = graph.edges["owns_card"]
-    links = (
+    reached = (
         _alert_cards(graph, graph_name)
         .join(graph.edges["at_merchant"], "payment_id")
         .select("merchant_id", "card_id")
         .distinct()
-        .join(owners.select("card_id").distinct(), "card_id", "left_semi")
     )
+    links = keep_known(reached, owners.select("card_id").distinct(), "card_id")
     cards = links.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("suspicious_cards"))
     customers = reach_count(links, owners, "merchant_id", "card_id", "customer_id", "suspicious_customers")
     return (
@@ -279,11 +276,8 @@ def device_clusters(graph: Graph, graph_name: str | None = None, page_size: int
     used = graph.edges["used_on"]
     shared = used.groupBy("device_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 2").select("device_id")
     alert_cards = _alert_cards(graph, graph_name)
-    links = (
-        used.join(alert_cards.select("card_id").distinct(), "card_id", "left_semi")
-        .join(shared, "device_id", "left_semi")
-        .select("device_id", "card_id")
-    )
+    links = keep_known(used, alert_cards.select("card_id").distinct(), "card_id")
+    links = keep_known(links, shared, "device_id").select("device_id", "card_id")
     members = paged_members(links, "device_id", "card_id", "total_cards", "cards", 1, page_size)
     payments = reach_count(links, alert_cards, "device_id", "card_id", "payment_id", "alert_payments")
     return (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paysignal.functions.columns import is_timestamp
 from paysignal.operators.dedup import latest_per_key
-from paysignal.operators.joins import attach
+from paysignal.operators.joins import attach, attach_to_hubs
 from paysignal.operators.trailing import Trailing, trailing_features
 from paysignal.schemas import FEATURE_COLUMNS, SHORT_SILVER_COLUMNS
 
@@ -73,7 +73,7 @@ def features(
     per_device = device_card_counts(narrow)
     per_payment = narrow.select("payment_id", "card_id", "device_id", "second")
     per_payment = attach(per_payment, per_card_second, ["card_id", "second"], nulls_match)
-    per_payment = attach(per_payment, per_device, ["device_id"], nulls_match)
+    per_payment = attach_to_hubs(per_payment, per_device, "device_id", nulls_match)
     per_payment = per_payment.withColumn("declined_ratio_1h", F.round("declined_ratio_1h", 4))
     return attach(
         cleaned, per_payment.select("payment_id", *FEATURE_COLUMNS), ["payment_id"], nulls_match
