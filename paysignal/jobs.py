@@ -121,9 +121,10 @@ def run_load_graph(spark: SparkSession, a: argparse.Namespace) -> None:
     )
     loaded = graph.load_snapshot(store, new, a.graph_name)
     # all new versions are complete before the first table changes
-    complete = {name: stage(df, names[name]) for name, df in {**loaded.nodes, **loaded.edges}.items()}
-    for name, df in complete.items():
-        tables.replace_table(df, names[name])
+    changed = {names[name]: df for name, df in {**loaded.nodes, **loaded.edges}.items()}
+    versions = {table: tables.write_version(df, table) for table, df in changed.items()}
+    for table, path in versions.items():
+        tables.point_table_at(spark, table, path, changed[table].schema)
 
 
 def run_investigate(spark: SparkSession, a: argparse.Namespace) -> None:

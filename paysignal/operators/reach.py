@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paysignal.operators.joins import attach_to_hubs
+from paysignal.operators.joins import attach_to_hubs, keep_known
 
 
 def _page_of(member: Column, pages: Column) -> Column:
@@ -38,23 +40,59 @@ def paged_members(
     )
 
 
-def reach_count(links: DataFrame, leaves: DataFrame, group: str, via: str, leaf: str, total: str) -> DataFrame:
+def _counted(pairs: DataFrame, group: str, sign: int = 1) -> DataFrame:
+    return pairs.groupBy(group).agg((F.lit(sign) * F.count(F.lit(1))).alias("_leaves"))
+
+
+def reach_count(
+    links: DataFrame,
+    leaves: DataFrame,
+    group: str,
+    via: str,
+    leaf: str,
+    total: str,
+    hub_leaves: int = 1000,
+) -> DataFrame:
     """Distinct ``leaf`` values per ``group`` over (group, via) x (via, leaf), both distinct.
 
-    A leaf with a single ``via`` can reach a group in one way only, so those are
-    counted per ``via`` first and the counts are added up. Only leaves with
-    several ``via`` nodes are expanded and de-duplicated, which keeps a hub
-    ``via`` from being multiplied by all of its groups.
+    The paths are not simply expanded, since a hub ``via`` would pair all of its
+    groups with all of its leaves:
+
+    * A leaf with a single ``via`` reaches a group in one way only; such leaves
+      are counted per ``via`` and the counts are added up.
+    * Of the others, those behind a ``via`` with at most ``hub_leaves`` of them
+      are expanded and de-duplicated (``near``).
+    * Behind hubs, leaves with the same set of hubs are counted as one class with
+      a weight; a group gets the weight of every class it touches.
+    * Leaves that a group reaches both ways were counted twice and are taken off.
     """
     degree = leaves.groupBy(leaf).agg(F.count(F.lit(1)).alias("_vias"), F.min(via).alias(via))
     single = degree.filter("_vias = 1").groupBy(via).agg(F.count(F.lit(1)).alias("_leaves"))
-    by_sum = attach_to_hubs(links, single, via).groupBy(group).agg(F.sum("_leaves").alias("_leaves"))
+    by_via = attach_to_hubs(links, single, via).groupBy(group).agg(F.sum("_leaves").alias("_leaves"))
+
     several = leaves.join(degree.filter("_vias > 1").select(leaf), leaf, "left_semi")
-    by_set = (
-        links.join(several, via)
-        .select(group, leaf)
+    sizes = several.groupBy(via).agg(F.count(F.lit(1)).alias("_size"))
+    sized = attach_to_hubs(several, sizes, via)
+    near = links.join(sized.filter(F.col("_size") <= hub_leaves), via).select(group, leaf).distinct()
+
+    behind_hubs = sized.filter(F.col("_size") > hub_leaves).select(via, leaf)
+    hub_links = keep_known(links, sizes.filter(F.col("_size") > hub_leaves), via)
+    classes = (
+        behind_hubs.groupBy(leaf)
+        .agg(F.sort_array(F.collect_set(via)).alias("_hubs"))
+        .groupBy("_hubs")
+        .agg(F.count(F.lit(1)).alias("_weight"))
+        .select("_hubs", "_weight", F.explode("_hubs").alias(via))
+    )
+    by_class = (
+        hub_links.join(classes, via)
+        .select(group, "_hubs", "_weight")
         .distinct()
         .groupBy(group)
-        .agg(F.count(F.lit(1)).alias("_leaves"))
+        .agg(F.sum("_weight").alias("_leaves"))
+    )
+    both_ways = (
+        near.join(behind_hubs, leaf).join(hub_links, [group, via], "left_semi").select(group, leaf).distinct()
     )
-    return by_sum.unionByName(by_set).groupBy(group).agg(F.sum("_leaves").alias(total))
+    parts = [by_via, _counted(near, group), by_class, _counted(both_ways, group, -1)]
+    return reduce(DataFrame.unionByName, parts).groupBy(group).agg(F.sum("_leaves").alias(total))

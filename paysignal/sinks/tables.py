@@ -46,12 +46,18 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
     if not _in_session_catalog(name):
         df.writeTo(name).createOrReplace()
         return spark.table(name)
-    path = fresh_path(spark, name.replace(".", "/"))
-    df.write.parquet(path)
-    point_table_at(spark, name, path, df.schema)
+    point_table_at(spark, name, write_version(df, name), df.schema)
     return spark.table(name)
 
 
+def write_version(df: DataFrame, name: str) -> str:
+    """Write a new version of table ``name`` to a fresh folder; returns the folder.
+    Earlier versions stay until somebody removes them, so running readers finish."""
+    path = fresh_path(df.sparkSession, name.replace(".", "/"))
+    df.write.parquet(path)
+    return path
+
+
 def point_table_at(spark: SparkSession, name: str, path: str, schema: StructType) -> None:
     """Point the external Parquet table ``name`` at the finished folder ``path``."""
     same_columns = spark.catalog.tableExists(name) and [

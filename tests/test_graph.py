@@ -150,6 +150,22 @@ def test_reach_count_counts_a_leaf_once(spark):
     assert dict(rows(reach_count(links, leaves, "g", "v", "leaf", "n"))) == {"g1": 2, "g2": 2}
 
 
+@pytest.mark.parametrize("hub_leaves", [0, 1, 3, 10, 1000])
+def test_reach_count_with_hubs(spark, hub_leaves):
+    """Two hubs own most leaves; results do not depend on where the hub limit lies."""
+    rnd = random.Random(11)
+    links = {(f"g{rnd.randrange(9)}", rnd.choice(["hub1", "hub2", *(f"v{i}" for i in range(8))])) for _ in range(40)}
+    leaves = {(rnd.choice(["hub1", "hub1", "hub2", *(f"v{i}" for i in range(10))]), f"l{rnd.randrange(30)}") for _ in range(70)}
+    expected = {}
+    for g, v in links:
+        expected.setdefault(g, set()).update(leaf for w, leaf in leaves if w == v)
+    found = reach_count(
+        spark.createDataFrame(sorted(links), "g string, v string"), spark.createDataFrame(sorted(leaves), "v string, leaf string"),
+        "g", "v", "leaf", "n", hub_leaves,
+    )
+    assert dict(rows(found)) == {g: len(s) for g, s in expected.items() if s}
+
+
 def test_big_member_lists_are_paged_without_loss(spark):
     pairs = spark.range(500).select(F.lit("hub").alias("k"), F.col("id").cast("string").alias("m"))
     pairs = pairs.union(spark.createDataFrame([("small", "1"), ("small", "2"), ("tiny", "1")], "k string, m string"))
