@@ -26,7 +26,7 @@ def run_ingest(spark: SparkSession, a: argparse.Namespace) -> None:
     tables.ensure_table(spark, a.table, bronze, a.location, a.provider)
     stream = ingest.message_stream(
         spark, a.format, path=a.path, bootstrap_servers=a.bootstrap_servers, topic=a.topic,
-        starting_offsets=a.starting_offsets,
+        starting_offsets=a.starting_offsets, fail_on_data_loss=a.fail_on_data_loss,
     )
     rows = ingest.bronze_rows(stream, schema, strict=not a.keep_corrupt)
     query = ingest.start_ingest(
@@ -167,6 +167,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--timeout-seconds", type=int, default=0)
     p.add_argument("--short-events", action="store_true")
     p.add_argument("--keep-corrupt", action="store_true")
+    p.add_argument("--fail-on-data-loss", action="store_true")
     p.add_argument("--provider", default="parquet")
     p.add_argument("--location")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -105,13 +106,26 @@ def compact_folder(spark: SparkSession, source: str, target: str, file_bytes: in
     return spark.read.parquet(target)
 
 
+def _is_stream_sink(spark: SparkSession, location: str) -> bool:
+    """A folder written by a file stream lists its valid files in a log of its own."""
+    try:
+        spark.read.format("binaryFile").load(f"{location}/_spark_metadata")
+        return True
+    except AnalysisException:
+        return False
+
+
 def compact_table(spark: SparkSession, name: str, file_bytes: int = DEFAULT_FILE_BYTES) -> bool:
-    """Compact an unpartitioned Parquet table in place; a failure is logged and
-    leaves the table as it was."""
+    """Compact an unpartitioned Parquet table; a failure is logged and leaves the
+    table as it was. The target of a file stream is refused, because the stream
+    would go on with its old file log."""
     try:
-        location = (
-            spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").filter("col_name = 'Location'").head().data_type
-        )
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}")
+        location = described.filter("col_name = 'Location'").head().data_type
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+            raise ValueError("the table is partitioned, compact its folder with partition_by")
+        if _is_stream_sink(spark, location):
+            raise ValueError("the table is written by a stream")
         target = fresh_path(spark, name.replace(".", "/"))
         schema = spark.table(name).schema
         compact_folder(spark, location, target, file_bytes)

@@ -55,6 +55,7 @@ def test_drain_stop_and_resume(spark, tmp_path):
     drop(inbox, json.dumps({**EVENT, "payment_id": "p3"}))
     assert run() == ["p1", "p2", "p3"]
     assert spark.table(table).filter("ingestion_ts is null").count() == 0
+    assert tables.compact_table(spark, table) is False  # its stream may run again
 
 
 def test_micro_batches_until_a_timeout(spark, tmp_path):
@@ -125,6 +126,9 @@ def test_compaction_by_partition_and_of_tables(spark, tmp_path):
     tables.replace_table(spark.range(100).repartition(10), table)
     assert tables.compact_table(spark, table) and spark.table(table).count() == 100
     assert tables.compact_table(spark, "no_such_table") is False
+    dated = name("t")
+    df.write.partitionBy("day").option("path", str(tmp_path / "t")).saveAsTable(dated)
+    assert tables.compact_table(spark, dated) is False and spark.table(dated).count() == 100
 
 
 def test_export_by_day(spark, tmp_path):
