@@ -8,10 +8,11 @@ import os
 import pytest
 
 import __spark_entry__ as registry
+from checks.oracle import ORACLE_SQL as ORACLES
+from checks.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 WITHOUT_ORACLE = {"analysis_summary", "classifier_metrics"}
 
 
@@ -32,6 +33,7 @@ def normal(value):
 
 def test_registry_is_consistent():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_ORACLE and set(ORACLES) <= set(QUERIES)
+    assert QUERIES.items() <= registry.queries().items() and ORACLES.items() <= registry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
