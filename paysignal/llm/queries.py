@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paysignal.llm import huffman_ids, packing
-from paysignal.llm.rows import vocabulary_path
+from paysignal.llm import huffman_ids, language_id, ngram_join, packing, pivot_index, substring_dedup, toxicity
+from paysignal.llm.rows import remainder, vocabulary_path
 from paysignal.session import fresh_path
 
 
@@ -13,10 +14,39 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = language_id.train(docs, remainder("doc_id", 5) != 0)
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return language_id.predict(docs.select("doc_id", "text", held_out), model).drop("text")
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    kept = substring_dedup.remove_repeats(docs, normalise=True)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json"), with_ids=False)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, remainder("doc_id", 4) != 2)
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    scored = toxicity.score(docs.select("doc_id", "text", held_out), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.embedding_groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_groups(_documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "kept")
+
+
 def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token_files")
     huffman_ids.write_ids(_documents(spark, sf_dir), path, vocabulary_path("byte_bpe_50k.json"))
@@ -24,7 +54,12 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
+    "op5_pivot_index": op5_pivot_index,
+    "op6_ngram_join": op6_ngram_join,
     "op10_huffman_ids": op10_huffman_ids,
 }
 
