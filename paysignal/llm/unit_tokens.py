@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,13 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_UNITS = 800_000
+CACHE_UNITS = 500_000
 _CALL_CHARS = 1 << 18
-_FIRST = "\x00"
+_FIRST, _GLUED = "\x00", "\x02"
+# Marks that often follow a word; they are units of their own, so that fewer units differ.
+_MARKS = (",", ".")
 # White space that only some of the involved libraries know as such.
-_UNUSUAL = ("\x00", "\x1c", "\x1d", "\x1e", "\x1f")
+_UNUSUAL = ("\x00", "\x02", "\x1c", "\x1d", "\x1e", "\x1f")
 
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -36,6 +39,7 @@ def _shown_bytes() -> dict[int, int]:
 
 
 _SHOWN = _shown_bytes()
+_SHOWN_SPACE = chr(_SHOWN[32])
 
 
 class UnitEncoder:
@@ -49,7 +53,7 @@ class UnitEncoder:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
         self.keeps_space = keeps_space
-        self.cache: dict[str, bytes | None] = {}
+        self.cache: dict[str, bytes | bool] = {}
         self.cache_units = cache_units
         self.mark = "\n" if keeps_space else " \x00 "
         self.mark_id = self._ids("\n" if keeps_space else "\x00")
@@ -58,7 +62,7 @@ class UnitEncoder:
         self.mark_id = self.mark_id[0]
         self.newline = self.mark_id.to_bytes(2, "little")
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes | bool] = {}
         self.tails: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
@@ -69,50 +73,72 @@ class UnitEncoder:
 
     def _units(self, texts: pa.Array) -> pa.ListArray:
         """Units as cache keys: the first one of a text and of a line have a mark in front."""
+        for mark in _MARKS:
+            texts = pc.replace_substring(texts, f"{mark} ", f" {_GLUED}{mark} ")
         if not self.keeps_space:
             return pc.utf8_split_whitespace(texts)
-        marked = pc.binary_join_element_wise(_FIRST, texts, "")
-        return pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        texts = pc.binary_join_element_wise(_FIRST, texts, "")
+        for mark in _MARKS:
+            texts = pc.replace_substring(texts, f"{mark}\n", f" {_GLUED}{mark}\n")
+        return pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+
+    def _found(self, units: list[str]) -> list[bytes | bool]:
+        """Ids of all units. What was used lately stays when the cache is full."""
+        if len(self.cache) > self.cache_units // 2:
+            self.older, self.cache = self.cache, {}
+        found = list(map(self.cache.get, units))
+        if None not in found:
+            return found
+        new = []
+        for unit, ids in zip(units, found, strict=True):
+            if ids is None:
+                ids = self.older.get(unit)
+                if ids is None:
+                    new.append(unit)
+                else:
+                    self.cache[unit] = ids
+        self._learn(new)
+        return list(map(self.cache.__getitem__, units))
 
     def _simple(self, unit: str) -> bytes | None:
         """Ids of letters followed by plain punctuation: two pieces that merge apart."""
-        lead, plain = unit[:1], unit
-        if self.keeps_space:
-            lead, plain = (lead, unit[1:]) if lead in (_FIRST, "\n") else ("", unit)
-        word = plain.rstrip(_PUNCTUATION)
+        lead = ""
+        if self.keeps_space and unit[:1] in (_FIRST, "\n"):
+            lead, unit = unit[:1], unit[1:]
+        word = unit.rstrip(_PUNCTUATION)
         if not word.isalpha():
             return None
+        shown = word
         if not self.keeps_space:
-            shown = unicodedata.normalize("NFC", word)
-            if "\u03a3" in shown or not (shown := shown.lower()).isalpha():
+            shown = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
+            if not shown.isalpha() or "\u03c2" in shown:  # a final sigma is lower-cased by its place
                 return None
-        else:
-            shown = word if lead else " " + word
-        found = self.words.get(shown)
-        if found is None:
-            bytewise = (shown if shown.isascii() else shown.encode().decode("latin-1")).translate(_SHOWN)
-            found = b"".join([t.id.to_bytes(2, "little") for t in self.model.tokenize(bytewise)])
-            self.words[shown] = found
-        if len(word) < len(plain):
-            tail = plain[len(word) :]
+        if not shown.isascii():
+            shown = shown.encode().decode("latin-1").translate(_SHOWN)
+        if self.keeps_space and not lead:
+            shown = _SHOWN_SPACE + shown
+        found = array("H", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        if len(word) < len(unit):
+            tail = unit[len(word) :]
             if tail not in self.tails:
                 self.tails[tail] = self.whole(tail).tobytes()
             found += self.tails[tail]
         return self.newline + found if lead == "\n" else found
 
     def _learn(self, units: list[str]) -> None:
-        """Adds new units; None for those whose ids depend on their neighbours."""
+        """Adds new units; False for those whose ids depend on their neighbours."""
         sure, size = [], 0
-        if len(self.words) + len(units) > self.cache_units:
-            self.words.clear()
         for unit in units:
+            if unit[:1] == _GLUED:
+                self.cache[unit] = self.whole(unit[1:]).tobytes()
+                continue
             found = self._simple(unit)
             if found is not None:
                 self.cache[unit] = found
                 continue
             plain = unit[1:] if unit[:1] in (_FIRST, "\n") else unit
             if plain.split() != [plain] and (self.keeps_space or plain):
-                self.cache[unit] = None
+                self.cache[unit] = False
                 continue
             sure.append(unit)
             size += len(unit)
@@ -148,16 +174,14 @@ class UnitEncoder:
         units, index = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
         limits = np.asarray(cut.offsets, dtype=np.int64)
         limits = limits - limits[0]
-        new = [u for u in units if u not in self.cache]
-        if len(self.cache) + len(new) > self.cache_units:
-            self.cache.clear()
-            new = units
-        self._learn(new)
-        found = [self.cache[u] for u in units]
-        unsure = np.fromiter((f is None for f in found), dtype=bool, count=len(found))
-        found = [f or b"" for f in found]
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 2
-        flat = np.frombuffer(b"".join(found), dtype="<u2")
+        found = self._found(units)
+        unsure = np.zeros(len(found), dtype=bool)
+        if False in found:
+            unsure = np.array([f is False for f in found], dtype=bool)
+            found = [f or b"" for f in found]
+        held = pa.array(found, pa.binary())
+        sizes = np.diff(np.frombuffer(held.buffers()[1], dtype=np.int32)[: len(found) + 1]).astype(np.int64) // 2
+        flat = np.frombuffer(held.buffers()[2] or b"", dtype="<u2")
         starts = np.cumsum(sizes) - sizes
         n = sizes[index] if len(index) else np.empty(0, dtype=np.int64)
         before = np.concatenate(([0], np.cumsum(n)))
@@ -167,6 +191,13 @@ class UnitEncoder:
         if len(index) and unsure.any():
             marks = np.concatenate(([0], np.cumsum(unsure[index])))[limits]
             whole = whole | (np.diff(marks) > 0)
+        glued = pc.starts_with(coded.dictionary, _GLUED).to_numpy(zero_copy_only=False)
+        if glued.any():  # a mark stands alone only after a letter or number
+            fine = pc.utf8_is_alnum(pc.utf8_slice_codeunits(coded.dictionary, -1)).to_numpy(zero_copy_only=False)
+            bad = glued[index]
+            bad[1:] &= ~fine[index[:-1]]
+            if bad.any():
+                whole = whole | (np.diff(np.concatenate(([0], np.cumsum(bad)))[limits]) > 0)
         whole = whole & ~empty.to_numpy(zero_copy_only=False)
         rows = np.flatnonzero(whole)
         clear = empty.to_numpy(zero_copy_only=False) & (np.diff(bounds) > 0)
