@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.llm import huffman_ids, language_id, ngram_join, packing, pivot_index, substring_dedup, toxicity
+from paysignal.llm import (
+    html_extraction, huffman_ids, language_id, ngram_join, packing, piece_scan, pivot_index, quality, substring_dedup, toxicity,
+)
 from paysignal.llm.rows import remainder, vocabulary_path
 from paysignal.session import fresh_path
 
@@ -47,6 +49,27 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_groups(_documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "kept")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
+    return judged.select("doc_id", *(f"_quality.{c}" for c in [*quality.COUNTS, "base_failed", "kept"]))
+
+
+def op8_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text (count and crc32 of the little-endian 32-bit ids), and whether they decode to it."""
+    path = vocabulary_path("piece_bpe_32k.model")
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    coded = piece_scan.encode(docs, path)
+    return piece_scan.decode(coded, path).select(
+        "doc_id", "n_pieces", "n_chunks", F.crc32("ids").alias("ids_crc32"),
+        F.coalesce(F.col("decoded") == F.col("text"), F.col("text").isNull()).alias("same_text"))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = html_extraction.extract(pages.select("page_id", "url", "html"), html_extraction.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token_files")
     huffman_ids.write_ids(_documents(spark, sf_dir), path, vocabulary_path("byte_bpe_50k.json"))
@@ -60,6 +83,9 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_pivot_index": op5_pivot_index,
     "op6_ngram_join": op6_ngram_join,
+    "op7_quality": op7_quality,
+    "op8_piece_scan": op8_piece_scan,
+    "op9_html_extraction": op9_html_extraction,
     "op10_huffman_ids": op10_huffman_ids,
 }
 
