@@ -109,23 +109,26 @@ def thresholds(counted: DataFrame, language: str, source: str, least_group: int
     own = stage(passing.groupBy("_lang", "_source").agg(
         F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(k, SKETCH_SIZE).alias(k) for k in names)), "sketches")
 
-    def merged(rows: DataFrame, keys: list[str], suffix: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(
-            F.sum("n").alias(f"n{suffix}"), *(F.kll_merge_agg_double(k, SKETCH_SIZE).alias(f"{k}{suffix}") for k in names))
-
-    by_language = merged(own, ["_lang"], "_l").withColumnRenamed("_lang", "_of")
-    # all documents: one row, met through a constant key
-    overall = merged(own.withColumn("_one", F.lit(1)), ["_one"], "_a").withColumnRenamed("_one", "_every")
-    joined = own.withColumn("_one", F.lit(1)).join(by_language, F.col("_lang").eqNullSafe(F.col("_of")))
-    joined = joined.join(overall, F.col("_one") == F.col("_every"))
-    bounds = []
-    for k in names:
-        sketch = F.when(F.col("n") >= least_group, F.col(k)).when(F.col("n_l") >= least_group, F.col(f"{k}_l")).otherwise(F.col(f"{k}_a"))
-        low, middle = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.05, 0.5))
-        bounds.append((middle + SPREADS * (middle - low) + SLACK[k]).alias(f"most_{k}"))
-        if k == "word_length":
-            bounds.append((middle - SPREADS * (middle - low) - SHORTEST_SLACK).alias("least_word_length"))
-    return joined.select("_lang", "_source", F.struct(*bounds).alias("_bounds"))
+    def bounds(sketches: dict[str, Column]) -> Column:
+        found = []
+        for k in names:
+            low, middle = (F.kll_sketch_get_quantile_double(sketches[k], F.lit(q)) for q in (0.05, 0.5))
+            found.append((middle + SPREADS * (middle - low) + SLACK[k]).alias(f"most_{k}"))
+            if k == "word_length":
+                found.append((middle - SPREADS * (middle - low) - SHORTEST_SLACK).alias("least_word_length"))
+        return F.struct(*found)
+
+    # sketches stay behind: only counts and bounds are joined
+    merged = bounds({k: F.kll_merge_agg_double(k, SKETCH_SIZE) for k in names}).alias("_wide")
+    of_language = own.groupBy(F.col("_lang").alias("_of")).agg(F.sum("n").alias("n_l"), merged)
+    everything = own.agg(F.sum("n").alias("n"), merged).first()  # one row of numbers
+    if not everything.n:
+        return own.select("_lang", "_source", bounds({k: F.col(k) for k in names}).alias("_bounds"))
+    overall = F.struct(*(F.lit(v).alias(k) for k, v in everything["_wide"].asDict().items()))
+    groups = own.select("_lang", "_source", "n", bounds({k: F.col(k) for k in names}).alias("_own"))
+    joined = groups.join(of_language, F.col("_lang").eqNullSafe(F.col("_of")))
+    chosen = F.when(F.col("n") >= least_group, F.col("_own")).when(F.col("n_l") >= least_group, F.col("_wide")).otherwise(overall)
+    return joined.select("_lang", "_source", chosen.alias("_bounds"))
 
 
 def judge(
