@@ -121,9 +121,10 @@ def thresholds(counted: DataFrame, language: str, source: str, least_group: int
     # sketches stay behind: only counts and bounds are joined
     merged = bounds({k: F.kll_merge_agg_double(k, SKETCH_SIZE) for k in names}).alias("_wide")
     of_language = own.groupBy(F.col("_lang").alias("_of")).agg(F.sum("n").alias("n_l"), merged)
-    everything = own.agg(F.sum("n").alias("n"), merged).first()  # one row of numbers
-    if not everything.n:
-        return own.select("_lang", "_source", bounds({k: F.col(k) for k in names}).alias("_bounds"))
+    if own.isEmpty():
+        nothing = F.struct(*(F.lit(None).cast("double").alias(k) for k in [*(f"most_{k}" for k in names), "least_word_length"]))
+        return own.select("_lang", "_source", nothing.alias("_bounds"))
+    everything = own.agg(merged).first()  # one row of numbers
     overall = F.struct(*(F.lit(v).alias(k) for k, v in everything["_wide"].asDict().items()))
     groups = own.select("_lang", "_source", "n", bounds({k: F.col(k) for k in names}).alias("_own"))
     joined = groups.join(of_language, F.col("_lang").eqNullSafe(F.col("_of")))

@@ -26,15 +26,15 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
 
 
 def labelled_sample(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
-    """At most ``per_label`` rows of each label, those with the least hash of ``key``.
+    """At most ``per_label`` rows of each label, those with the least hash of ``key``; give narrow rows only.
 
-    A threshold per label, from the label counts, first leaves about twice that
-    many rows, so that no task ever ranks more than a bounded number of rows.
+    A threshold per label, from the label counts (a broadcast row for each label), first leaves about twice that
+    many rows where they are read, so that no task ever ranks more than a bounded number of rows.
     """
     rows = rows.filter(F.col(label).isNotNull())
     counts = rows.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
     drawn = F.pmod(F.xxhash64(F.col(key), F.lit(42)), F.lit(1 << 20)) / float(1 << 20)
-    near = rows.withColumn("_u", drawn).join(counts, F.col(label) == F.col("_label"))
+    near = rows.withColumn("_u", drawn).join(F.broadcast(counts), F.col(label) == F.col("_label"))
     near = near.filter(F.col("_u") * F.col("_n") <= 2.0 * per_label + 50)
     order = Window.partitionBy(label).orderBy("_u", F.xxhash64(F.col(key), F.lit(43)), F.col(key))
     return near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_label).drop(
