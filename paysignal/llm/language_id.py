@@ -215,7 +215,10 @@ def train(
     found, n = document_frequencies(own.select("_text"))
     idf = np.log((1.0 + n) / (1.0 + found)) + 1.0
     taught = own.filter(F.col("_text").isNotNull())
-    sample = sorted((r._lang, str(r._id), r._text) for r in labelled_sample(taught, "_lang", "_id", per_label).collect())
+    chosen = labelled_sample(taught.select("_id", "_lang"), "_lang", "_id", per_label).distinct()
+    # at most per_label ids of each label; of repeated rows one text
+    rows = taught.join(F.broadcast(chosen), ["_id", "_lang"]).groupBy("_id", "_lang").agg(F.min("_text").alias("_text"))
+    sample = sorted((r._lang, str(r._id), r._text) for r in rows.collect())
     labels = sorted({s[0] for s in sample})
     if not labels:
         return Model([], idf, np.zeros((FEATURES, 0)), np.zeros(0))

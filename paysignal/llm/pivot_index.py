@@ -61,7 +61,8 @@ def describe(vectors: DataFrame, listed: int) -> DataFrame:
     """Adds to (node, members, vector, n_dims) the nearest pivots, nearest first, and the unit vector as doubles."""
     spark = vectors.sparkSession
     n = vectors.count()
-    drawn = labelled_sample(vectors.select("node", "vector", "n_dims"), "n_dims", "node", pivots_for(n)).collect()
+    chosen = labelled_sample(vectors.select("node", "n_dims"), "n_dims", "node", pivots_for(n))
+    drawn = vectors.select("node", "n_dims", "vector").join(F.broadcast(chosen.select("node")), "node").collect()
     by_size: dict[int, list] = {}
     for row in sorted(drawn, key=lambda r: r.node):
         by_size.setdefault(row.n_dims, []).append(row.vector)
@@ -145,8 +146,9 @@ def embedding_groups(
         F.count(F.lit(1)).alias("members"), F.min("_id").alias("least")).withColumn("n_dims", F.size("vector")), "vectors")
     index = stage(describe(classes, listed), "pivot_index")
     lists = index.select("*", F.explode("pivots").alias("pivot"))
+    # as many rows as pivots, which are bounded
     sizes = index.select("n_dims", F.explode("pivots").alias("pivot")).groupBy("n_dims", "pivot").agg(F.count(F.lit(1)).alias("n"))
-    tasks = block_tasks(lists.join(sizes, ["n_dims", "pivot"]), ["n_dims", "pivot"], F.col("n"), "node", block)
+    tasks = block_tasks(lists.join(F.broadcast(sizes), ["n_dims", "pivot"]), ["n_dims", "pivot"], F.col("n"), "node", block)
     tasks = tasks.select("task", "node", "members", "pivot", "side", "cross", "unit", "pivots")
     found = stage(tasks.repartition("task").sortWithinPartitions("task").mapInArrow(
         _list_links(threshold, shared), "a long, b long, links long"), "links")
