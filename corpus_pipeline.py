@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paysignal.llm import ngram_join, packing, quality, substring_dedup, toxicity
-from paysignal.llm.rows import KEYS, remainder, row_keys, vocabulary_path
+from paysignal.llm.rows import KEYS, bounded_batches, remainder, row_keys, vocabulary_path
 from paysignal.session import stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose toxicity score reaches the threshold."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = bounded_batches(spark).read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, remainder("doc_id", 4) != 2)
     return toxicity.score(docs, model).filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
 
@@ -29,6 +29,7 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the least id, of each group of near copies."""
+    bounded_batches(spark)
     kept = ngram_join.jaccard_groups(docs).filter("kept").select(*KEYS).distinct()
     keyed = docs.select("*", *row_keys("doc_id", "text"))
     # equal rows have equal keys: one of them stays
@@ -37,12 +38,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that occur more than once."""
+    bounded_batches(spark)
     cut = substring_dedup.remove_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences, with their token ids."""
+    bounded_batches(spark)
     return packing.pack_documents(docs, vocabulary_path("word_bpe_49k.json"))
 
 

@@ -37,8 +37,9 @@ MAX_BITS = 16
 BLOCK = 256
 CHUNK_IDS = 1 << 18
 IDS = 1 << 16
-_PART_BYTES = 64 << 20
-_SLICE_BYTES = 8 << 20
+_PART_BYTES = 32 << 20
+_SLICE_BYTES = 6 << 20
+_ROW_GROUP = {"parquet.block.size": str(8 << 20)}  # what a writing task buffers
 
 
 def code_lengths(counts: np.ndarray, most: int = MAX_BITS) -> np.ndarray:
@@ -212,7 +213,7 @@ def write_ids(
     ordered = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     ordered = ordered.repartitionByRange(parts, "id").sortWithinPartitions("id")
     plain = fresh_path(spark, "plain_ids")
-    _tokenise(ordered, "id", "text", vocabulary, end_id).write.option("compression", "zstd").parquet(plain)
+    _tokenise(ordered, "id", "text", vocabulary, end_id).write.options(compression="zstd", **_ROW_GROUP).parquet(plain)
     staged = spark.read.schema(CHUNK_SCHEMA).parquet(plain)
     counted = staged.select("payload").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.zeros(IDS, dtype=np.int64)
@@ -231,7 +232,7 @@ def write_ids(
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:5], pa.array(payloads, pa.binary()), pa.array(offsets, pa.binary())], schema=_ARROW)
 
-    staged.mapInArrow(run, CHUNK_SCHEMA).write.option("compression", "uncompressed").parquet(f"{path}/chunks")
+    staged.mapInArrow(run, CHUNK_SCHEMA).write.options(compression="uncompressed", **_ROW_GROUP).parquet(f"{path}/chunks")
     spark.createDataFrame([(bytearray(lengths),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codes")
 
 

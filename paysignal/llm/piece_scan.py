@@ -31,16 +31,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paysignal.llm.rows import KEYS, row_keys
+from paysignal.llm.unit_tokens import GLUED, UnitEncoder
+from paysignal.llm.words import row_slices, text_buffers
 from paysignal.session import stage
 
-CHUNK = 1 << 14
-CACHE_UNITS = 400_000
-CACHE_PAIRS = 2_000_000
+CHUNK = 1 << 16
+CACHE_UNITS = 300_000
+CACHE_PAIRS = 400_000
+CACHE_SPINES = 20_000
+_SLICE_BYTES = 4 << 20
 SPACE = "▁"
 
 State = tuple[int, str]  # where the piece begins, relative to the border, and the piece
@@ -56,25 +61,18 @@ class Pieces:
         self.ids: dict[str, int] = {}
         self.scores: dict[str, float] = {}
         self.bytes: dict[int, int] = {}  # byte to id
-        self.texts: list[bytes | None] = []  # id to bytes, None for control pieces
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
-                value = int(piece[1:-1], 16)
-                self.bytes[value] = i
-                self.texts.append(bytes([value]))
-            elif model.is_control(i) or model.is_unknown(i):
-                self.texts.append(None)
-            else:
+                self.bytes[int(piece[1:-1], 16)] = i
+            elif not (model.is_control(i) or model.is_unknown(i)):
                 self.ids[piece] = i
                 self.scores[piece] = model.get_score(i)
-                self.texts.append(piece.replace(SPACE, " ").encode())
-        if len(self.bytes) != 256:
-            raise ValueError("the model has no byte pieces")
+        if len(self.bytes) != 256 or model.get_piece_size() > 1 << 16:
+            raise ValueError("the model has no byte pieces, or more than 65 536 pieces")
         self.longest = max(map(len, self.ids), default=1)
         self.units_apart = all(SPACE not in p.lstrip(SPACE) for p in self.ids)
-        self.units: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, bool] = {}
         self.spines: dict[str, tuple[set[str], set[str]]] = {}
         # pieces that are the encoding of their own text
         self.whole_pieces = {p for p in self.ids if len(p) == 1 or self.merged(p) == [p]}
@@ -101,7 +99,7 @@ class Pieces:
         return parts
 
     def may_follow(self, left: str, right: str) -> bool:
-        key = (left, right)
+        key = f"{left}\n{right}"
         found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= CACHE_PAIRS:
@@ -117,7 +115,7 @@ class Pieces:
         if found is None:
             found = ({piece}, {piece})
             self.merged(piece, found)
-            if len(self.spines) < CACHE_UNITS:
+            if len(self.spines) < CACHE_SPINES:
                 self.spines[piece] = found
         return found
 
@@ -191,11 +189,6 @@ class Pieces:
 
         With a single entry, one piece at most can end at a place, as every prefix has one encoding.
         """
-        found = self.units.get(text)
-        if found is not None:
-            return found
-        if len(self.units) >= CACHE_UNITS:
-            self.units.clear()
         n = len(text)
         ending: list[str | None] = [None] * (n + 1)
         ending[0] = ""
@@ -212,7 +205,7 @@ class Pieces:
                     if piece not in whole:
                         continue
                 if ending[stop] is None:
-                    fits = not left or pairs.get((left, piece))
+                    fits = not left or pairs.get(f"{left}\n{piece}")
                     if fits is None:
                         fits = self.may_follow(left, piece)
                     if fits:
@@ -221,8 +214,7 @@ class Pieces:
         while n:
             back.append(ending[n])
             n -= len(ending[n])
-        found = self.units[text] = self.to_ids(back[::-1])
-        return found
+        return self.to_ids(back[::-1])
 
     def to_ids(self, pieces: list[str]) -> bytes:
         out: list[int] = []
@@ -232,7 +224,7 @@ class Pieces:
                 out += (self.bytes[b] for b in piece.encode())
             else:
                 out.append(known)
-        return np.array(out, dtype="<u4").tobytes()
+        return np.array(out, dtype="<u2").tobytes()
 
     def whole(self, text: str) -> bytes:
         """Ids of a text that is one chunk, stretch by stretch."""
@@ -297,21 +289,58 @@ class Pieces:
         tail, exits = self.scan(text, b, last, None)
         return entries or [(0, "")], [(s, fits) for s, _ in exits], (ends, reached, (a, b), tail)
 
-    def trace_chunk(self, text: str, first: int, last: int, begins: bool, entry: int, leaving: State) -> bytes:
+    def trace_chunk(
+        self, text: str, first: int, last: int, begins: bool, entry: int, leaving: State, units: PieceUnits | None = None,
+    ) -> bytes:
         _, _, (ends, reached, cuts, tail) = self.chunk(text, first, last, begins)
         if cuts is None:
             return self.to_ids(self.trace(ends, first, last, entry, leaving))
         a, b = cuts
         inner = next(s for s, mask in reached if mask >> entry & 1 and s[0] + len(s[1]) == 0)
         head = self.to_ids(self.trace(ends, first, a, entry, inner) if a + inner[0] >= first else [])
-        middle = b"".join(map(self.unit, self.cut(text[a:b])))
+        inside = text[a:b]
+        if units is None or b <= a:
+            middle = b"".join(map(self.unit, self.cut(inside)))
+        else:  # the first space is put in front again
+            middle = units.encode(pa.array([inside[1:].replace(SPACE, " ")], pa.string()))[0].tobytes()
         return head + middle + self.to_ids(self.trace(tail, b, last, 0, leaving))
 
-    def decoded(self, ids: np.ndarray) -> bytes:
-        """Text of ids, without the space that encoding puts in front."""
-        texts = self.texts
-        out = b"".join([texts[i] or b"" for i in ids.tolist()])
-        return out[1:] if out[:1] == b" " else out
+class PieceUnits(UnitEncoder):
+    """Looks up stretches of text that were scanned before; ids are 16 bits wide.
+
+    A text may be cut between two characters that never stand side by side within a piece: before a space,
+    around a line break, and between a letter and a mark where the vocabulary has no such piece.
+    """
+
+    def __init__(self, path: str, cache_units: int = CACHE_UNITS):
+        self.pieces = Pieces(path)
+        self.cache: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
+        self.cache_units = cache_units
+        inner = [p.lstrip(SPACE) for p in self.pieces.ids]
+        beside = {(a, b) for p in inner for a, b in zip(p, p[1:])}  # noqa: B905
+        self.marks = [m for m in (",", ".") if not any(b == m and a.isalnum() for a, b in beside)]
+        self.cuts = self.pieces.units_apart and not any("\n" in p for p in inner)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.pieces.whole(text), dtype="<u2")
+
+    def _units(self, texts: pa.Array) -> pa.ListArray:
+        if not self.cuts:
+            return pc.split_pattern(texts, GLUED)  # no cut is certain: whole texts are the units
+        for mark in self.marks:
+            texts = pc.replace_substring(texts, f"{mark} ", f" {GLUED}{mark} ")
+            texts = pc.replace_substring(texts, f"{mark}\n", f" {GLUED}{mark}\n")
+        return pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+
+    def _learn(self, units: list[str]) -> None:
+        for unit in units:
+            if not unit or SPACE in unit or not self.cuts:
+                self.cache[unit] = False
+            elif unit[0] == GLUED:
+                self.cache[unit] = self.pieces.unit(unit[1:])
+            else:
+                self.cache[unit] = self.pieces.unit(unit if unit[0] == "\n" else SPACE + unit)
 
 
 def combine(left: dict[State, set[State]], right: dict[State, set[State]]) -> dict[State, set[State]]:
@@ -330,15 +359,49 @@ def border_states(matrices: list[dict[State, set[State]]], start: State, last: S
     return path[::-1]
 
 
-_models: dict[str, Pieces] = {}
+class Decoder:
+    """Bytes of every id; control pieces show nothing."""
 
+    def __init__(self, path: str):
+        import sentencepiece
 
-def pieces(path: str) -> Pieces:
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+
+        def shown(i: int) -> bytes:
+            piece = model.id_to_piece(i)
+            if model.is_byte(i):
+                return bytes([int(piece[1:-1], 16)])
+            return b"" if model.is_control(i) or model.is_unknown(i) else piece.replace(SPACE, " ").encode()
+
+        self.shown = [shown(i) for i in range(model.get_piece_size())]
+
+    def text(self, ids: np.ndarray) -> bytes:
+        """Text of ids, without the space that encoding puts in front."""
+        out = b"".join(map(self.shown.__getitem__, ids.tolist()))
+        return out[1:] if out[:1] == b" " else out
+
+
+_units: dict[str, PieceUnits] = {}
+_decoders: dict[str, Decoder] = {}
+
+
+def units_of(path: str) -> PieceUnits:
     """One vocabulary per worker process; what it has learned outlives the tasks."""
-    if path not in _models:
-        _models.clear()
-        _models[path] = Pieces(path)
-    return _models[path]
+    if path not in _units:
+        _units.clear()
+        _units[path] = PieceUnits(path)
+    return _units[path]
+
+
+def decoder(path: str) -> Decoder:
+    if path not in _decoders:
+        _decoders.clear()
+        _decoders[path] = Decoder(path)
+    return _decoders[path]
+
+
+def pieces(path: str) -> Pieces:
+    return units_of(path).pieces
 
 
 def _giants(docs: DataFrame, text_column: str, path: str, chunk: int) -> DataFrame:
@@ -393,10 +456,12 @@ def _giants(docs: DataFrame, text_column: str, path: str, chunk: int) -> DataFra
         for batch in batches:
             ids = [
                 vocabulary.trace_chunk(
-                    r["part"], r["before"], r["before"] + r["size"], r["number"] == 0, r["entry"], (r["leaving_at"], r["leaving"]))
+                    r["part"], r["before"], r["before"] + r["size"], r["number"] == 0, r["entry"], (r["leaving_at"], r["leaving"]),
+                    units_of(path))
                 for r in batch.select(["part", "before", "size", "number", "entry", "leaving_at", "leaving"]).to_pylist()]
+            wide = [np.frombuffer(i, dtype="<u2").astype("<u4").tobytes() for i in ids]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in (*KEYS, "number")), pa.array(ids, pa.binary())], names=[*KEYS, "number", "ids"])
+                [*(batch.column(c) for c in (*KEYS, "number")), pa.array(wide, pa.binary())], names=[*KEYS, "number", "ids"])
 
     traced = rows.join(states, [*KEYS, "number"]).mapInArrow(trace, "_k1 long, _k2 long, number int, ids binary")
     ordered = F.array_sort(F.collect_list(F.struct("number", "ids")))
@@ -411,30 +476,48 @@ def _reduce(steps: list[dict]) -> dict:
     return steps[0]
 
 
-def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """``docs`` with ``ids`` (little-endian, 32 bits), ``n_pieces`` and ``n_chunks`` (equally named columns are replaced)."""
-    added = ["ids", "n_pieces", "n_chunks"]
+def encode(
+    docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK, with_decoded: bool = False,
+) -> DataFrame:
+    """``docs`` with ``ids`` (little-endian, 32 bits), ``n_pieces`` and ``n_chunks`` (equally named columns are replaced).
+
+    ``with_decoded`` adds the text of the ids as ``decoded`` in the same pass.
+    """
+    added = ["ids", "n_pieces", "n_chunks", *(["decoded"] if with_decoded else [])]
     plain = docs.drop(*added)
     names = plain.columns
     place = names.index(text_column)
     keyed = plain.select("*", *row_keys(id_column, text_column))
     giant = F.coalesce(F.length(text_column) >= chunk, F.lit(False))
-    schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("n_chunks", T.IntegerType())])
+    schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("n_chunks", T.IntegerType()),
+                           *([T.StructField("decoded", T.StringType())] if with_decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pieces(path)
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            ids = pa.array([vocabulary.whole(t) if t else b"" for t in texts], pa.binary())
-            chunks = pa.array([1 if t else 0 for t in texts], pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids, chunks], names=[*names, "ids", "n_chunks"])
+            column = batch.column(place)
+            _, limits = text_buffers(column)
+            for lo, hi in row_slices(limits, _SLICE_BYTES):
+                ids, bounds = units_of(path).encode(column.slice(lo, hi - lo))
+                wide = ids.astype("<u4").tobytes()
+                raw = [wide[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                part = batch.slice(lo, hi - lo)
+                more = [pa.array(raw, pa.binary()), pa.array([1 if r else 0 for r in raw], pa.int32())]
+                if with_decoded:
+                    more.append(_shown(path, raw))
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*names, "ids", "n_chunks", "decoded"][: len(names) + len(more)])
 
     small = plain.filter(~giant).mapInArrow(run, schema)
     large = keyed.filter(giant).join(_giants(keyed, text_column, path, chunk), KEYS).select(*names, "ids", "n_chunks")
-    every = small.unionByName(large)
+    every = small.unionByName(decode(large, path) if with_decoded else large)
     return every.withColumn("n_pieces", (F.octet_length("ids") / 4).cast("long"))
 
 
+def _shown(path: str, raw: list[bytes | None]) -> pa.Array:
+    texts = [
+        None if ids is None else decoder(path).text(np.frombuffer(ids, dtype="<u4")).decode("utf-8", "replace") for ids in raw]
+    return pa.array(texts, pa.string())
+
+
 def decode(coded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
     """``coded`` with the text of its ids as ``decoded`` (an equally named column is replaced)."""
     plain = coded.drop("decoded")
@@ -443,11 +526,8 @@ def decode(coded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
     schema = T.StructType([*plain.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pieces(path)
         for batch in batches:
-            texts = [
-                vocabulary.decoded(np.frombuffer(raw.as_buffer(), dtype="<u4")).decode("utf-8", "replace") if raw.is_valid else None
-                for raw in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
+            texts = _shown(path, batch.column(place).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*names, "decoded"])
 
     return plain.mapInArrow(run, schema)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from paysignal.llm import (
     html_extraction, huffman_ids, language_id, ngram_join, packing, piece_scan, pivot_index, quality, substring_dedup, toxicity,
 )
-from paysignal.llm.rows import remainder, vocabulary_path
+from paysignal.llm.rows import bounded_batches, remainder, vocabulary_path
 from paysignal.session import fresh_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pivot_index.embedding_groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return pivot_index.embedding_groups(bounded_batches(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,14 +58,13 @@ def op8_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text (count and crc32 of the little-endian 32-bit ids), and whether they decode to it."""
     path = vocabulary_path("piece_bpe_32k.model")
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    coded = piece_scan.encode(docs, path)
-    return piece_scan.decode(coded, path).select(
+    return piece_scan.encode(docs, path, with_decoded=True).select(
         "doc_id", "n_pieces", "n_chunks", F.crc32("ids").alias("ids_crc32"),
         F.coalesce(F.col("decoded") == F.col("text"), F.col("text").isNull()).alias("same_text"))
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = bounded_batches(spark).read.parquet(f"{sf_dir}/pages.parquet")
     found = html_extraction.extract(pages.select("page_id", "url", "html"), html_extraction.train(pages))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 

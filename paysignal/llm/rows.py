@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from paysignal.session import stage
 
 KEYS = ["_k1", "_k2"]
+BATCH_ROWS = 2000
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches of whole texts: fewer rows than Spark's default, so that Python tasks stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return spark
 
 
 def row_keys(*columns: str) -> list[Column]:

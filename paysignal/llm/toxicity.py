@@ -43,8 +43,8 @@ THRESHOLD = 0.3
 LEAST_EPOCHS, LEAST_STEPS = 6, 300  # few examples are passed over more often
 RATE = 0.5
 _BATCH = 32
-CACHE_WORDS = 400_000
-_SLICE_BYTES = 4 << 20
+CACHE_WORDS = 200_000
+_SLICE_BYTES = 2 << 20
 # Odd 32-bit multiplier and start of the n-gram hash; any odd numbers do.
 _STEP, _START = np.uint32(0x01000193), np.uint32(0x811C9DC5)
 

@@ -22,7 +22,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CACHE_UNITS = 500_000
 _CALL_CHARS = 1 << 18
-_FIRST, _GLUED = "\x00", "\x02"
+_FIRST, GLUED = "\x00", "\x02"
 # Marks that often follow a word; they are units of their own, so that fewer units differ.
 _MARKS = (",", ".")
 # White space that only some of the involved libraries know as such.
@@ -74,12 +74,12 @@ class UnitEncoder:
     def _units(self, texts: pa.Array) -> pa.ListArray:
         """Units as cache keys: the first one of a text and of a line have a mark in front."""
         for mark in _MARKS:
-            texts = pc.replace_substring(texts, f"{mark} ", f" {_GLUED}{mark} ")
+            texts = pc.replace_substring(texts, f"{mark} ", f" {GLUED}{mark} ")
         if not self.keeps_space:
             return pc.utf8_split_whitespace(texts)
         texts = pc.binary_join_element_wise(_FIRST, texts, "")
         for mark in _MARKS:
-            texts = pc.replace_substring(texts, f"{mark}\n", f" {_GLUED}{mark}\n")
+            texts = pc.replace_substring(texts, f"{mark}\n", f" {GLUED}{mark}\n")
         return pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
 
     def _found(self, units: list[str]) -> list[bytes | bool]:
@@ -129,7 +129,7 @@ class UnitEncoder:
         """Adds new units; False for those whose ids depend on their neighbours."""
         sure, size = [], 0
         for unit in units:
-            if unit[:1] == _GLUED:
+            if unit[:1] == GLUED:
                 self.cache[unit] = self.whole(unit[1:]).tobytes()
                 continue
             found = self._simple(unit)
@@ -191,7 +191,7 @@ class UnitEncoder:
         if len(index) and unsure.any():
             marks = np.concatenate(([0], np.cumsum(unsure[index])))[limits]
             whole = whole | (np.diff(marks) > 0)
-        glued = pc.starts_with(coded.dictionary, _GLUED).to_numpy(zero_copy_only=False)
+        glued = pc.starts_with(coded.dictionary, GLUED).to_numpy(zero_copy_only=False)
         if glued.any():  # a mark stands alone only after a letter or number
             fine = pc.utf8_is_alnum(pc.utf8_slice_codeunits(coded.dictionary, -1)).to_numpy(zero_copy_only=False)
             bad = glued[index]

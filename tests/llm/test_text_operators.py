@@ -256,6 +256,8 @@ def test_pieces_are_those_of_the_library(docs, empty):
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     for chunk in (piece_scan.CHUNK, 70):  # whole texts, and cut at arbitrary characters
         found = piece_scan.decode(piece_scan.encode(docs, path, chunk=chunk), path)
+        at_once = piece_scan.encode(docs, path, chunk=chunk, with_decoded=True).select("doc_id", "ids", "decoded")
+        assert at_once.exceptAll(found.select("doc_id", "ids", "decoded")).isEmpty()
         assert set(found.columns) == {*docs.columns, "ids", "n_pieces", "n_chunks", "decoded"}
         got = collections.Counter((r.doc_id, bytes(r.ids), r.n_pieces, r.decoded) for r in found.collect())
         expected = collections.Counter()
