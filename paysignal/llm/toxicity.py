@@ -38,11 +38,12 @@ DIM = 12
 ORDERS = (3, 4, 5)
 STRETCH = 3
 LEAST_HELD = 20
-PER_LABEL = 2500
+PER_LABEL = 2000
 THRESHOLD = 0.3
 LEAST_EPOCHS, LEAST_STEPS = 6, 300  # few examples are passed over more often
 RATE = 0.5
 _BATCH = 32
+_WORDS_AT_ONCE = 20_000
 CACHE_WORDS = 200_000
 _SLICE_BYTES = 2 << 20
 # Odd 32-bit multiplier and start of the n-gram hash; any odd numbers do.
@@ -51,6 +52,14 @@ _STEP, _START = np.uint32(0x01000193), np.uint32(0x811C9DC5)
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams of all words (each at least one) and the limits of the words in them."""
+    parts = [_subwords(words[lo : lo + _WORDS_AT_ONCE]) for lo in range(0, len(words), _WORDS_AT_ONCE)]
+    if not parts:
+        return np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+    sizes = np.concatenate([np.diff(limits) for _, limits in parts])
+    return np.concatenate([buckets for buckets, _ in parts]), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     code = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint32)
     sizes = np.array([len(w) + 2 for w in words], dtype=np.int64)
     word = np.repeat(np.arange(len(words)), sizes)
@@ -66,7 +75,7 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         inside = word[:n] == word[order - 1 :]
         found.append(h[inside] & np.uint32(BUCKETS - 1))
         owners.append(word[:n][inside])
-    buckets, owner = np.concatenate(found).astype(np.int64), np.concatenate(owners)
+    buckets, owner = np.concatenate(found).astype(np.int32), np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
     return buckets[order], np.searchsorted(owner[order], np.arange(len(words) + 1))
 
@@ -217,7 +226,7 @@ def _fit(texts: list[str | None], targets: np.ndarray, epochs: int | None, seed:
     size = np.minimum(counts, STRETCH)
 
     def word_scores() -> np.ndarray:
-        per_bucket = embeddings @ (softmax[:, 1] - softmax[:, 0])
+        per_bucket = (embeddings @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32)
         return np.add.reduceat(per_bucket[sub], sub_limits[:-1]) / np.diff(sub_limits)
 
     def one_pass(rows, starts, sizes, whole) -> None:
