@@ -15,7 +15,7 @@ from paysignal import schemas
 from paysignal.plans import analysis, dashboards, elt, gold, graph, silver, training
 from paysignal.session import build_session, stage
 from paysignal.sinks import files, graph_files, tables
-from paysignal.sources.files import read_bounded, read_table_or_path
+from paysignal.sources.files import read_table_or_path
 from paysignal.sources.jdbc import JdbcTable, Slices, jdbc_features, read_jdbc, write_jdbc
 from paysignal.streaming import ingest
 
@@ -53,7 +53,7 @@ def run_dashboard(spark: SparkSession, a: argparse.Namespace) -> None:
     dashboards.layer_counts(
         {"bronze_rows": spark.table(a.bronze), "total_transactions": spark.table(a.silver), "total_fraud_alerts": alerts}
     ).show(truncate=False)
-    dashboards.alerts_per_hour(alerts, 24).show(24, truncate=False)
+    dashboards.alerts_per_hour(alerts, a.hours).show(a.hours or 2**31 - 1, truncate=False)
     for entity in ("merchant_id", "card_id"):
         dashboards.riskiest(alerts, entity, a.top).show(a.top, truncate=False)
     dashboards.top_alerts(alerts, a.top).show(a.top, truncate=False)
@@ -137,8 +137,10 @@ def run_investigate(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_train(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = stage(training.labelled(read_bounded(spark, a.input, a.max_files, a.max_rows), a.high_risk_threshold), "labelled")
-    model, _, metrics = training.train_classifier(rows, not a.without_label_inputs, a.test_size, a.random_state)
+    rows = stage(training.labelled(read_table_or_path(spark, a.input), a.high_risk_threshold), "labelled")
+    model, _, metrics = training.train_classifier(
+        rows, not a.without_label_inputs, a.test_size, a.random_state, max_train_rows=a.max_train_rows
+    )
     files.write_result(rows.select("text", "label"), a.output, "training_set")
     files.write_result(training.label_distribution(rows), a.output, "class_distribution")
     files.write_result(spark.createDataFrame(list(metrics.items()), "metric string, value double"), a.output, "metrics")
@@ -181,6 +183,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = job("dashboard", run_dashboard, "bronze", "silver", "alerts")
     p.add_argument("--top", type=int, default=20)
+    p.add_argument("--hours", type=int, default=0, help="only the first hours; 0 shows all")
 
     p = job("export", run_export, "source", "path")
     p.add_argument("--format", choices=["json", "parquet"], default="json")
@@ -227,8 +230,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--prefix", default="graph")
 
     p = job("train", run_train, "input", "output")
-    p.add_argument("--max-files", type=int, default=0)
-    p.add_argument("--max-rows", type=int, default=0)
+    p.add_argument("--max-train-rows", type=int, default=0, help="rows per label given to the fit; 0 means all")
     p.add_argument("--test-size", type=float, default=0.2)
     p.add_argument("--random-state", type=int, default=42)
     p.add_argument("--high-risk-threshold", type=float, default=analysis.HIGH_RISK)

@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysignal.functions.columns import not_blank
@@ -84,12 +84,14 @@ def require_two_classes(rows: DataFrame) -> None:
 
 
 def train_classifier(rows: DataFrame, with_label_inputs: bool = True, test_fraction: float = 0.2, seed: int = 42,
-                     hash_size: int = 4096, iterations: int = 20):
+                     hash_size: int = 4096, iterations: int = 20, max_train_rows: int = 0):
     """Logistic regression on the eight inputs; returns model, evaluation rows and metrics.
 
     ``risk_score`` and ``status`` also define the default label;
     ``with_label_inputs=False`` leaves them out. Text inputs are hashed, so no
-    vocabulary is collected however many cards there are.
+    vocabulary is collected however many cards there are. ``max_train_rows`` bounds
+    the train rows of each label that the fit sees, in a stable hash order; the
+    evaluation uses all of its rows.
     """
     require_two_classes(rows)
     parts = stratified_split(rows, "label", "payment_id", test_fraction, seed)
@@ -102,6 +104,10 @@ def train_classifier(rows: DataFrame, with_label_inputs: bool = True, test_fract
             LogisticRegression(labelCol="label", maxIter=iterations, regParam=0.01),
         ]
     )
-    model = pipeline.fit(parts.filter("split = 'train'"))
+    train = parts.filter("split = 'train'")
+    if max_train_rows > 0:
+        order = Window.partitionBy("label").orderBy(F.xxhash64("payment_id", F.lit(seed)), "payment_id")
+        train = train.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= max_train_rows).drop("_rank")
+    model = pipeline.fit(train)
     scored = model.transform(parts.filter("split = 'eval'")).withColumn("score", vector_to_array("probability")[1])
     return model, scored, binary_metrics(scored, "label", "prediction", "score")

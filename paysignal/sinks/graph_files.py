@@ -24,11 +24,11 @@ NODE_COLUMNS = {
         "risk_score", "reasons", "is_alert", "ip", "graph_name",
     ],
 }
-_CSV = {"header": True, "escape": '"', "multiLine": False}
+_CSV = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False}
 
 
 def write_graph(graph: Graph, root: str, mode: str = "overwrite") -> None:
-    """Booleans are written as ``True`` / ``False``."""
+    """Values may hold line breaks. Booleans are written as ``True`` / ``False``."""
     for label, columns in NODE_COLUMNS.items():
         table = graph.nodes[label].select(*columns)
         if "is_alert" in columns:
@@ -44,7 +44,7 @@ def _scan(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 
 def read_graph(spark: SparkSession, root: str) -> Graph:
-    """Typed node tables, one row per key, and edges with both endpoints present."""
+    """Typed node tables and edges with both endpoints present."""
     nodes = {label: _scan(spark, f"{root}/{label}", columns) for label, columns in NODE_COLUMNS.items()}
     nodes["payments"] = nodes["payments"].withColumns(
         {

@@ -8,6 +8,7 @@ import pytest
 
 from checks.sources import layers, messages
 from paysignal import jobs
+from paysignal.plans import training
 from paysignal.sinks import files
 
 
@@ -65,8 +66,8 @@ def test_analyse_and_train(spark, sf_dir, tmp_path):
     jobs.main(["analyse", "--input", source, "--output", str(tmp_path / "analyses"), "--format", "csv"])
     summary = spark.read.option("header", True).csv(str(tmp_path / "analyses" / "summary"))
     assert summary.count() == 3
-    jobs.main(["train", "--input", source, "--output", str(tmp_path / "model"), "--max-rows", "600"])
-    assert spark.read.parquet(str(tmp_path / "model" / "training_set")).count() == 600
+    jobs.main(["train", "--input", source, "--output", str(tmp_path / "model"), "--max-train-rows", "200"])
+    assert spark.read.parquet(str(tmp_path / "model" / "training_set")).count() == training.labelled(spark.read.parquet(source)).count() > 600
     assert {r.metric for r in spark.read.parquet(str(tmp_path / "model" / "metrics")).collect()} >= {"accuracy", "f1"}
 
 
