@@ -186,15 +186,15 @@ UNION ALL SELECT DISTINCT 'at_merchant', payment_id, merchant_id FROM gold"""
 
 def _shared_devices(pairs: str) -> str:
     return f"""
-SELECT device_id, count(*) AS total_cards, CAST(0 AS INT) AS page, array_to_string(list_sort(list(card_id)), '|') AS cards
-FROM ({pairs}) GROUP BY device_id HAVING count(*) >= 3"""
+SELECT device_id, total_cards, card_id FROM ({pairs})
+JOIN (SELECT device_id, count(*) AS total_cards FROM ({pairs}) GROUP BY device_id HAVING count(*) >= 3) USING (device_id)"""
 
 
 def _multi_country(source: str, least: int) -> str:
     return f"""
-SELECT card_id, count(DISTINCT country) AS total_countries, CAST(0 AS INT) AS page,
-       array_to_string(list_sort(list(DISTINCT country)), '|') AS countries
-FROM {source} GROUP BY card_id HAVING count(DISTINCT country) >= {least}"""
+SELECT card_id, total_countries, country FROM (SELECT DISTINCT card_id, country FROM {source} WHERE country IS NOT NULL)
+JOIN (SELECT card_id, count(DISTINCT country) AS total_countries FROM {source}
+      GROUP BY card_id HAVING count(DISTINCT country) >= {least}) USING (card_id)"""
 
 
 def _risky_merchants(source: str, customers: int, cards: int) -> str:
@@ -208,11 +208,12 @@ HAVING count(DISTINCT o.customer_id) >= {customers} OR count(DISTINCT a.card_id)
 def _device_clusters(source: str) -> str:
     """The literal form: pairs of different cards on one device."""
     return f"""
-SELECT a.device_id, CAST(0 AS INT) AS page, array_to_string(list_sort(list(DISTINCT b.card_id)), '|') AS cards,
-       CAST(count(DISTINCT p.payment_id) AS BIGINT) AS alert_payments
-FROM used_on a JOIN used_on b ON a.device_id = b.device_id AND a.card_id <> b.card_id
-JOIN (SELECT card_id, payment_id FROM {source} WHERE is_alert) p ON p.card_id = b.card_id
-GROUP BY a.device_id"""
+, near AS (
+  SELECT DISTINCT a.device_id, b.card_id, p.payment_id
+  FROM used_on a JOIN used_on b ON a.device_id = b.device_id AND a.card_id <> b.card_id
+  JOIN (SELECT card_id, payment_id FROM {source} WHERE is_alert) p ON p.card_id = b.card_id)
+SELECT DISTINCT device_id, card_id, alert_payments FROM near
+JOIN (SELECT device_id, count(DISTINCT payment_id) AS alert_payments FROM near GROUP BY device_id) USING (device_id)"""
 
 
 def _riskiest(entity: str, top: int) -> str:

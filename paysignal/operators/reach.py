@@ -1,98 +1,64 @@
-"""Member lists and distinct counts over two-step paths, safe for hub nodes."""
+"""Members per key and distinct counts over two-step paths, safe for hub nodes."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paysignal.operators.joins import attach_to_hubs, keep_known
-
+from paysignal.operators.joins import attach_to_hubs
+from paysignal.session import stage
 
-def _page_of(member: Column, pages: Column) -> Column:
-    spread = F.conv(F.substring(F.md5(member), 1, 8), 16, 10).cast("long")
-    return F.when(pages == 1, F.lit(0)).otherwise(F.pmod(spread, pages)).cast("int")
+# Leaves share a row in groups of 64, one bit of a long each.
+_BLOCK_BITS = 6
 
 
-def paged_members(
-    pairs: DataFrame,
-    key: str,
-    member: str,
-    total: str,
-    members: str,
-    min_total: int = 1,
-    page_size: int = 1000,
-) -> DataFrame:
-    """Sorted member list and member count per key, keys with ``min_total`` or more.
+def members(pairs: DataFrame, key: str, member: str, total: str, min_total: int = 1) -> DataFrame:
+    """(key, total, member): one row per member of keys with ``min_total`` or more.
 
-    ``pairs`` holds distinct (key, member) rows. A key with up to ``page_size``
-    members is one row (``page`` 0), any bigger one is spread over several pages,
-    so no list grows without bound and no member is lost.
+    ``pairs`` holds distinct (key, member) rows. The result has this shape at
+    any number of members; no list is collected.
     """
     totals = pairs.groupBy(key).agg(F.count(F.lit(1)).alias(total)).filter(F.col(total) >= min_total)
-    pages = F.ceil(F.col(total) / page_size)
-    return (
-        attach_to_hubs(pairs, totals, key)
-        .withColumn("page", _page_of(F.col(member), pages))
-        .groupBy(key, total, "page")
-        .agg(F.sort_array(F.collect_list(member)).alias(members))
-    )
-
-
-def _counted(pairs: DataFrame, group: str, sign: int = 1) -> DataFrame:
-    return pairs.groupBy(group).agg((F.lit(sign) * F.count(F.lit(1))).alias("_leaves"))
+    return attach_to_hubs(pairs.select(key, member), totals, key).select(key, total, member)
 
 
-def reach_count(
-    links: DataFrame,
-    leaves: DataFrame,
-    group: str,
-    via: str,
-    leaf: str,
-    total: str,
-    hub_leaves: int = 1000,
-) -> DataFrame:
+def reach_count(links: DataFrame, leaves: DataFrame, group: str, via: str, leaf: str, total: str) -> DataFrame:
     """Distinct ``leaf`` values per ``group`` over (group, via) x (via, leaf), both distinct.
 
-    The paths are not simply expanded, since a hub ``via`` would pair all of its
-    groups with all of its leaves:
+    * A leaf with a single ``via`` reaches a group in one way only: such leaves
+      are counted per ``via``, and a group adds the counts up.
+    * The others are numbered so that leaves of one ``via`` mostly follow each
+      other. Per ``via``, each block of 64 numbers becomes one row with a bit
+      mask; a group takes the bitwise or of the masks of a block and counts the
+      bits. A path is so a part of a row, and masks combine before the shuffle.
 
-    * A leaf with a single ``via`` reaches a group in one way only; such leaves
-      are counted per ``via`` and the counts are added up.
-    * Of the others, those behind a ``via`` with at most ``hub_leaves`` of them
-      are expanded and de-duplicated (``near``).
-    * Behind hubs, leaves with the same set of hubs are counted as one class with
-      a weight; a group gets the weight of every class it touches.
-    * Leaves that a group reaches both ways were counted twice and are taken off.
+    Numbers are written down, so that a task that runs again sees the same ones.
     """
-    degree = leaves.groupBy(leaf).agg(F.count(F.lit(1)).alias("_vias"), F.min(via).alias(via))
-    single = degree.filter("_vias = 1").groupBy(via).agg(F.count(F.lit(1)).alias("_leaves"))
-    by_via = attach_to_hubs(links, single, via).groupBy(group).agg(F.sum("_leaves").alias("_leaves"))
-
-    several = leaves.join(degree.filter("_vias > 1").select(leaf), leaf, "left_semi")
-    sizes = several.groupBy(via).agg(F.count(F.lit(1)).alias("_size"))
-    sized = attach_to_hubs(several, sizes, via)
-    near = links.join(sized.filter(F.col("_size") <= hub_leaves), via).select(group, leaf).distinct()
-
-    behind_hubs = sized.filter(F.col("_size") > hub_leaves).select(via, leaf)
-    hub_links = keep_known(links, sizes.filter(F.col("_size") > hub_leaves), via)
-    classes = (
-        behind_hubs.groupBy(leaf)
-        .agg(F.sort_array(F.collect_set(via)).alias("_hubs"))
-        .groupBy("_hubs")
-        .agg(F.count(F.lit(1)).alias("_weight"))
-        .select("_hubs", "_weight", F.explode("_hubs").alias(via))
+    degree = leaves.groupBy(leaf).agg(F.count(F.lit(1)).alias("_vias"), F.min(via).alias("_first"))
+    numbered = stage(
+        degree.repartitionByRange("_first", leaf)
+        .sortWithinPartitions("_first", leaf)
+        .select(leaf, "_vias", "_first", F.monotonically_increasing_id().alias("_n")),
+        "reach_numbers",
     )
-    by_class = (
-        hub_links.join(classes, via)
-        .select(group, "_hubs", "_weight")
-        .distinct()
-        .groupBy(group)
-        .agg(F.sum("_weight").alias("_leaves"))
+    alone = (
+        numbered.filter("_vias = 1")
+        .groupBy(F.col("_first").alias(via))
+        .agg(F.count(F.lit(1)).alias("_alone"))
+        .select(via, F.lit(None).cast("long").alias("_block"), F.lit(None).cast("long").alias("_mask"), "_alone")
     )
-    both_ways = (
-        near.join(behind_hubs, leaf).join(hub_links, [group, via], "left_semi").select(group, leaf).distinct()
+    position = F.col("_n").bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1)).cast("int")
+    masks = (
+        leaves.join(numbered.filter("_vias > 1").select(leaf, "_n"), leaf)
+        .groupBy(via, F.shiftright("_n", _BLOCK_BITS).alias("_block"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), position)).alias("_mask"))
+        .select(via, "_block", "_mask", F.lit(0).cast("long").alias("_alone"))
+    )
+    # both sides of this join may hold a hub, so both get a shuffle of their own
+    reached = attach_to_hubs(links.select(group, via), alone.unionByName(masks), via)
+    return (
+        reached.groupBy(group, "_block")
+        .agg(F.bit_or("_mask").alias("_mask"), F.sum("_alone").alias("_alone"))
+        .groupBy(group)
+        .agg(F.sum(F.col("_alone") + F.coalesce(F.bit_count("_mask"), F.lit(0))).alias(total))
     )
-    parts = [by_via, _counted(near, group), by_class, _counted(both_ways, group, -1)]
-    return reduce(DataFrame.unionByName, parts).groupBy(group).agg(F.sum("_leaves").alias(total))

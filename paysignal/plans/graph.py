@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paysignal.functions.columns import in_time_range, is_timestamp
-from paysignal.operators.joins import keep_known
-from paysignal.operators.reach import paged_members, reach_count
+from paysignal.operators.joins import attach_to_hubs, keep_known
+from paysignal.operators.reach import members, reach_count
+from paysignal.session import stage
 
 # Staging columns with type and default (no default: required).
 REQUIRED = ("payment_id", "event_time", "customer_id", "card_id", "merchant_id", "device_id")
@@ -215,9 +216,9 @@ def _alert_cards(graph: Graph, graph_name: str | None) -> DataFrame:
     return graph.edges["authorized"].join(alerts, "payment_id", "left_semi")
 
 
-def shared_devices(graph: Graph, graph_name: str | None = None, min_cards: int = 3, page_size: int = 1000) -> DataFrame:
-    """Devices used by several cards. With a snapshot name, only cards that have a
-    payment in it count; their device links may come from any snapshot."""
+def shared_devices(graph: Graph, graph_name: str | None = None, min_cards: int = 3) -> DataFrame:
+    """Devices used by several cards, one row per card. With a snapshot name, only cards that
+    have a payment in it count; their device links may come from any snapshot."""
     used = graph.edges["used_on"]
     if graph_name is not None:
         seen = (
@@ -227,19 +228,18 @@ def shared_devices(graph: Graph, graph_name: str | None = None, min_cards: int =
             .distinct()
         )
         used = keep_known(used, seen, "card_id")
-    return paged_members(used, "device_id", "card_id", "total_cards", "cards", min_cards, page_size).orderBy(
-        F.desc("total_cards"), "device_id", "page"
+    return members(used, "device_id", "card_id", "total_cards", min_cards).orderBy(
+        F.desc("total_cards"), "device_id", "card_id"
     )
 
 
-def multi_country_cards(graph: Graph, graph_name: str | None = None, min_countries: int = 3,
-                        page_size: int = 1000) -> DataFrame:
-    """Cards with payments in several countries."""
+def multi_country_cards(graph: Graph, graph_name: str | None = None, min_countries: int = 3) -> DataFrame:
+    """Cards with payments in several countries, one row per country."""
     payments = _payments_of(graph, graph_name).select("payment_id", "country").dropna()
     pairs = graph.edges["authorized"].join(payments, "payment_id").select("card_id", "country").distinct()
-    return paged_members(
-        pairs, "card_id", "country", "total_countries", "countries", min_countries, page_size
-    ).orderBy(F.desc("total_countries"), "card_id", "page")
+    return members(pairs, "card_id", "country", "total_countries", min_countries).orderBy(
+        F.desc("total_countries"), "card_id", "country"
+    )
 
 
 def risky_merchants(graph: Graph, graph_name: str | None = None, min_customers: int = 2,
@@ -256,7 +256,7 @@ def risky_merchants(graph: Graph, graph_name: str | None = None, min_customers:
         .select("merchant_id", "card_id")
         .distinct()
     )
-    links = keep_known(reached, owners.select("card_id").distinct(), "card_id")
+    links = stage(keep_known(reached, owners.select("card_id").distinct(), "card_id"), "merchant_cards")
     cards = links.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("suspicious_cards"))
     customers = reach_count(links, owners, "merchant_id", "card_id", "customer_id", "suspicious_customers")
     return (
@@ -267,21 +267,21 @@ def risky_merchants(graph: Graph, graph_name: str | None = None, min_customers:
     )
 
 
-def device_clusters(graph: Graph, graph_name: str | None = None, page_size: int = 1000) -> DataFrame:
-    """Devices shared by cards, with the cards on them that have alert payments.
+def device_clusters(graph: Graph, graph_name: str | None = None) -> DataFrame:
+    """Devices shared by cards: one row per card on them that has alert payments,
+    with the number of alert payments of all these cards.
 
     On a device with two or more cards every card has another one next to it, so
     pairing cards is not needed.
     """
     used = graph.edges["used_on"]
     shared = used.groupBy("device_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 2").select("device_id")
-    alert_cards = _alert_cards(graph, graph_name)
+    alert_cards = stage(_alert_cards(graph, graph_name), "alert_cards")
     links = keep_known(used, alert_cards.select("card_id").distinct(), "card_id")
-    links = keep_known(links, shared, "device_id").select("device_id", "card_id")
-    members = paged_members(links, "device_id", "card_id", "total_cards", "cards", 1, page_size)
+    links = stage(keep_known(links, shared, "device_id").select("device_id", "card_id"), "device_cards")
     payments = reach_count(links, alert_cards, "device_id", "card_id", "payment_id", "alert_payments")
     return (
-        members.join(payments, "device_id")
-        .select("device_id", "page", "cards", "alert_payments")
-        .orderBy(F.desc("alert_payments"), "device_id", "page")
+        attach_to_hubs(links, payments, "device_id")
+        .select("device_id", "card_id", "alert_payments")
+        .orderBy(F.desc("alert_payments"), "device_id", "card_id")
     )
