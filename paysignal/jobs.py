@@ -16,7 +16,7 @@ from paysignal.plans import analysis, dashboards, elt, gold, graph, silver, trai
 from paysignal.session import build_session, stage
 from paysignal.sinks import files, graph_files, tables
 from paysignal.sources.files import read_table_or_path
-from paysignal.sources.jdbc import JdbcTable, Slices, jdbc_features, read_jdbc, write_jdbc
+from paysignal.sources.jdbc import JdbcTable, Slices, jdbc_features, read_jdbc, slices_over, write_jdbc
 from paysignal.streaming import ingest
 
 
@@ -26,7 +26,7 @@ def run_ingest(spark: SparkSession, a: argparse.Namespace) -> None:
     tables.ensure_table(spark, a.table, bronze, a.location, a.provider)
     stream = ingest.message_stream(
         spark, a.format, path=a.path, bootstrap_servers=a.bootstrap_servers, topic=a.topic,
-        starting_offsets=a.starting_offsets, fail_on_data_loss=a.fail_on_data_loss,
+        starting_offsets=a.starting_offsets, fail_on_data_loss=a.fail_on_data_loss, max_per_trigger=a.max_per_trigger,
     )
     rows = ingest.bronze_rows(stream, schema, strict=not a.keep_corrupt)
     query = ingest.start_ingest(
@@ -75,12 +75,16 @@ def run_load_jdbc(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_merge(spark: SparkSession, a: argparse.Namespace) -> None:
-    slices = Slices(a.slice_column, a.slice_lower, a.slice_upper, a.slices) if a.slice_column else None
+    source, slices = _jdbc(a), None
+    if a.slice_column and a.slice_lower and a.slice_upper:
+        slices = Slices(a.slice_column, a.slice_lower, a.slice_upper, a.slices)
+    elif a.slice_column:
+        slices = slices_over(spark, source, a.slice_column, a.slices)
     limits = elt.RiskThresholds(
         a.high_risk_threshold, a.tx5m_threshold, a.merchants10m_threshold, a.countries1h_threshold, a.suspicious_countries
     )
     merged = elt.merge(
-        elt.canonical(read_table_or_path(spark, a.store), "s3"), elt.canonical(read_jdbc(spark, _jdbc(a), slices), "rds")
+        elt.canonical(read_table_or_path(spark, a.store), "s3"), elt.canonical(read_jdbc(spark, source, slices), "rds")
     )
     if a.compute_counts:
         merged = stage(merged, "merged")
@@ -90,7 +94,11 @@ def run_merge(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def run_analyse(spark: SparkSession, a: argparse.Namespace) -> None:
     base = analysis.typed(read_table_or_path(spark, a.input))
-    analysis.write_analyses(spark, base, a.output, a.format, a.mode).show(truncate=False)
+    limits = analysis.AnalysisLimits(
+        a.high_risk_threshold, a.min_high_risk_tx, a.tx5m_threshold, a.countries_threshold,
+        a.countries_threshold if a.geo_countries1h_threshold is None else a.geo_countries1h_threshold, a.suspicious_countries,
+    )
+    analysis.write_analyses(spark, base, a.output, a.format, a.mode, limits).show(truncate=False)
 
 
 def run_compact(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -167,6 +175,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--trigger", choices=["processing-time", "available-now"], default="processing-time")
     p.add_argument("--interval-seconds", type=int, default=5)
     p.add_argument("--timeout-seconds", type=int, default=0)
+    p.add_argument("--max-per-trigger", type=int, help="messages (Kafka) or files of one batch at most; the rest follows in later batches")
     p.add_argument("--short-events", action="store_true")
     p.add_argument("--keep-corrupt", action="store_true")
     p.add_argument("--fail-on-data-loss", action="store_true")
@@ -207,14 +216,23 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--countries1h-threshold", type=int, default=defaults.countries_1h)
     p.add_argument("--suspicious-countries", default=defaults.countries)
     p.add_argument("--compute-counts", action="store_true")
-    p.add_argument("--slice-column", help="date, time or number column for a parallel read")
-    p.add_argument("--slice-lower")
+    reading = p.add_mutually_exclusive_group(required=True)
+    reading.add_argument("--slice-column", help="date, time or number column for a parallel read")
+    reading.add_argument("--one-task", action="store_true", help="read a small table over one connection")
+    p.add_argument("--slice-lower", help="both bounds are asked from the database unless given")
     p.add_argument("--slice-upper")
     p.add_argument("--slices", type=int, default=16)
 
     p = job("analyse", run_analyse, "input", "output")
     p.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     p.add_argument("--mode", choices=["append", "overwrite"], default="overwrite")
+    limits = analysis.AnalysisLimits()
+    p.add_argument("--high-risk-threshold", type=float, default=limits.score)
+    p.add_argument("--min-high-risk-tx", type=int, default=limits.min_high_risk)
+    p.add_argument("--tx5m-threshold", type=int, default=limits.tx_5m)
+    p.add_argument("--countries-threshold", type=int, default=limits.card_countries)
+    p.add_argument("--geo-countries1h-threshold", type=int, help="as --countries-threshold unless given")
+    p.add_argument("--suspicious-countries", default=limits.countries)
 
     p = job("compact", run_compact, "table")
     p.add_argument("--file-mb", type=int, default=64)

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,22 @@ class Trailing:
     column: str
     seconds: int
 
+    def __post_init__(self) -> None:
+        if self.kind not in ("count", "distinct", "mean"):
+            raise ValueError(f"unknown kind of trailing feature: {self.kind}")
+
+
+def _summand(rows: DataFrame, name: str) -> Column:
+    """The values of a mean: exact sums for whole numbers, flags and decimals, doubles otherwise.
+    NaN counts as null, since it would spoil the running totals."""
+    kind = rows.schema[name].dataType
+    if isinstance(kind, T.DecimalType):
+        return F.col(name)
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return F.col(name).cast("long")
+    value = F.col(name).try_cast("double")
+    return F.when(~F.isnan(value), value)
+
 
 def _buckets(second: Column, reach: Column, size: int) -> Column:
     """The bucket of ``second`` and every later one whose rows can still look back at it."""
@@ -79,24 +96,27 @@ def trailing_features(
     key: str,
     second: str,
     specs: list[Trailing],
-    bucket_seconds: int = 21600,
+    bucket_seconds: int | None = None,
 ) -> DataFrame:
     """One row per (key, second) with one column per spec.
 
     ``second`` is a long column of epoch seconds. Counts come out as integers,
-    means as doubles.
+    means as doubles (null without a value in range). A bucket holds
+    ``bucket_seconds``, by default six times the longest range.
     """
     indexed = dict(enumerate(specs))
     distinct = {i: s for i, s in indexed.items() if s.kind == "distinct"}
     summed = {i: s for i, s in indexed.items() if s.kind != "distinct"}
     longest = max(s.seconds for s in specs)
+    bucket_seconds = bucket_seconds or 6 * longest
     zero = F.lit(0).cast("long")
 
-    present = {i: F.col(s.column).isNotNull().cast("long") for i, s in summed.items()}
+    value = {i: _summand(rows, s.column) if s.kind == "mean" else F.col(s.column) for i, s in summed.items()}
+    present = {i: v.isNotNull().cast("long") for i, v in value.items()}
     measures: dict[str, Column] = {f"n{i}": p for i, p in present.items()}
     for i, s in summed.items():
         if s.kind == "mean":
-            measures[f"v{i}"] = F.coalesce(F.col(s.column).cast("long"), zero)
+            measures[f"v{i}"] = F.coalesce(value[i], zero)
     run_columns = [f"{side}{i}" for i in distinct for side in ("o", "c")]
 
     parts = rows.select(
@@ -136,7 +156,7 @@ def trailing_features(
             return (up_to_now(f"o{i}") - before_range(f"c{i}", s.seconds)).cast("int")
         if s.kind == "count":
             return in_range(f"n{i}", s.seconds).cast("int")
-        return in_range(f"v{i}", s.seconds) / in_range(f"n{i}", s.seconds)
+        return F.try_divide(in_range(f"v{i}", s.seconds), in_range(f"n{i}", s.seconds)).cast("double")
 
     in_own_bucket = F.floor(F.col(second) / bucket_seconds) == F.col("bucket")
     return (

@@ -7,6 +7,7 @@ query-service version; they differ in filters and columns on purpose.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,18 @@ from paysignal.sinks.files import write_result
 
 # Fixed value: score from which a payment counts as high risk.
 HIGH_RISK = 70.0
+
+
+@dataclass(frozen=True)
+class AnalysisLimits:
+    score: float = HIGH_RISK
+    min_high_risk: int = 2
+    tx_5m: int = 8
+    card_countries: int = 2
+    countries_1h: int = 2
+    countries: str = "RU,NG,KP,IR"
+
+
 _PLAIN_COLUMNS = [c for c in CONSOLIDATED_COLUMNS if not c.startswith("source_")]
 
 
@@ -108,12 +121,12 @@ def geo_patterns_sql(base: DataFrame, threshold: float = HIGH_RISK) -> DataFrame
 
 
 def write_analyses(spark: SparkSession, base: DataFrame, root: str, file_format: str = "parquet",
-                   mode: str = "overwrite") -> DataFrame:
+                   mode: str = "overwrite", limits: AnalysisLimits = AnalysisLimits()) -> DataFrame:
     """Write the three analyses and a summary of where they went; returns the summary."""
     results = {
-        "high_risk_transactions": high_risk_tx(base),
-        "suspicious_cards": suspicious_cards(base),
-        "geo_fraud_patterns": geo_patterns(base),
+        "high_risk_transactions": high_risk_tx(base, limits.score),
+        "suspicious_cards": suspicious_cards(base, limits.score, limits.min_high_risk, limits.tx_5m, limits.card_countries),
+        "geo_fraud_patterns": geo_patterns(base, limits.score, limits.countries_1h, limits.countries),
     }
     written = [(name, write_result(df, root, name, file_format, mode)) for name, df in results.items()]
     summary = spark.createDataFrame(written, "dataset string, output_path string")

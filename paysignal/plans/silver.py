@@ -52,7 +52,7 @@ def device_card_counts(rows: DataFrame) -> DataFrame:
 def features(
     cleaned: DataFrame,
     windows: list[Trailing] | None = None,
-    bucket_seconds: int = 21600,
+    bucket_seconds: int | None = None,
     strict: bool = True,
 ) -> DataFrame:
     """Cleaned payments with the five behaviour features.

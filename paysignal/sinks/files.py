@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paysignal.functions.columns import in_time_range, is_timestamp
@@ -19,13 +19,21 @@ def write_consolidated(df: DataFrame, path: str, mode: str = "overwrite") -> Non
     write_partitioned(df, path, ["event_date"], "parquet", mode)
 
 
+def _moment(df: DataFrame, time_column: str) -> Column:
+    """The time of a row; text that is no time becomes null."""
+    if is_timestamp(df, time_column):
+        return F.col(time_column)
+    return F.try_to_timestamp(F.regexp_replace(F.col(time_column).cast("string"), " UTC$", ""))
+
+
 def select_export(df: DataFrame, time_column: str = "event_time", start: str | None = None,
                   end: str | None = None, limit: int = 0) -> DataFrame:
-    """Whole rows of an optional half-open time range, at most ``limit`` of them if given."""
-    picked = df.filter(in_time_range(F.col(time_column), start, end)) if start or end else df
+    """Whole rows of an optional half-open time range, the first ``limit`` of them if given.
+    A row whose time does not parse lies in no range."""
+    picked = df.filter(in_time_range(_moment(df, time_column), start, end)) if start or end else df
     if limit > 0:
         ties = [c for c in ("payment_id",) if c in df.columns and c != time_column]
-        picked = picked.orderBy(time_column, *ties).limit(limit)
+        picked = picked.orderBy(_moment(df, time_column), *ties).limit(limit)
     return picked
 
 
@@ -34,9 +42,7 @@ def export_by_day(df: DataFrame, path: str, time_column: str = "event_time", fil
     """Write under ``year=/month=/day=``; rows whose time does not parse are left out."""
     if file_format not in ("json", "parquet"):
         raise ValueError(f"unsupported export format: {file_format}")
-    moment = F.col(time_column)
-    if not is_timestamp(df, time_column):
-        moment = F.try_to_timestamp(F.regexp_replace(time_column, " UTC$", ""))
+    moment = _moment(df, time_column)
     parts = {"year": "yyyy", "month": "MM", "day": "dd"}
     dated = df.withColumns({n: F.date_format(moment, p) for n, p in parts.items()}).dropna(subset=list(parts))
     write_partitioned(dated, path, list(parts), file_format, mode)

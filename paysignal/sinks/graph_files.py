@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysignal.plans.graph import EDGE_TYPES, Graph, resolve_edges
+from paysignal.plans.graph import EDGE_TYPES, NODE_KEYS, Graph, resolve_edges
 
 # File name per edge table, and columns per node file.
 EDGE_FILES = {
@@ -24,7 +24,7 @@ NODE_COLUMNS = {
         "risk_score", "reasons", "is_alert", "ip", "graph_name",
     ],
 }
-_CSV = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False}
+_CSV = {"header": True, "escape": '"', "multiLine": True}
 
 
 def write_graph(graph: Graph, root: str, mode: str = "overwrite") -> None:
@@ -39,12 +39,21 @@ def write_graph(graph: Graph, root: str, mode: str = "overwrite") -> None:
 
 
 def _scan(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.options(**_CSV).schema(schema).csv(path)
+    """Text columns taken by their names in the header, in whatever order the files hold them."""
+    return spark.read.options(**_CSV).csv(path).select(*columns)
+
+
+def _one_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """One row per non-null key, the greatest by the remaining columns in their order."""
+    known = rows.filter(F.col(key).isNotNull())
+    rest = [c for c in rows.columns if c != key]
+    if not rest:
+        return known.distinct()
+    return known.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(key, "_row.*").select(*rows.columns)
 
 
 def read_graph(spark: SparkSession, root: str) -> Graph:
-    """Typed node tables and edges with both endpoints present."""
+    """Typed node tables, one row per key, and distinct edges with both endpoints present."""
     nodes = {label: _scan(spark, f"{root}/{label}", columns) for label, columns in NODE_COLUMNS.items()}
     nodes["payments"] = nodes["payments"].withColumns(
         {
@@ -55,8 +64,7 @@ def read_graph(spark: SparkSession, root: str) -> Graph:
             "reasons": F.coalesce("reasons", F.lit("")),
         }
     )
-    for label in ("customers", "cards", "devices"):
-        nodes[label] = nodes[label].distinct()
+    nodes = {label: _one_per_key(rows, NODE_KEYS[label]) for label, rows in nodes.items()}
     edges = {
         name: _scan(spark, f"{root}/{EDGE_FILES[name]}", [source, target]).distinct()
         for name, _, source, _, target in EDGE_TYPES

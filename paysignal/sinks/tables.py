@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from paysignal.session import fresh_path
-
 log = logging.getLogger(__name__)
 
 DEFAULT_FILE_BYTES = 64 * 1024 * 1024
@@ -51,10 +50,16 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def version_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a version of table ``name``, below the warehouse: checkpoints may be cleared."""
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{root}/versions/{name.replace('.', '/')}/{uuid.uuid4().hex}"
+
+
 def write_version(df: DataFrame, name: str) -> str:
     """Write a new version of table ``name`` to a fresh folder; returns the folder.
     Earlier versions stay until somebody removes them, so running readers finish."""
-    path = fresh_path(df.sparkSession, name.replace(".", "/"))
+    path = version_path(df.sparkSession, name)
     df.write.parquet(path)
     return path
 
@@ -115,22 +120,35 @@ def _is_stream_sink(spark: SparkSession, location: str) -> bool:
         return False
 
 
+def _files_digest(spark: SparkSession, path: str) -> tuple:
+    """Number, bytes and a hash of the names of the data files below ``path``."""
+    names = F.bit_xor(F.xxhash64("path", "length"))
+    return tuple(file_sizes(spark, path).agg(F.count(F.lit(1)), F.sum("length"), names).head())
+
+
 def compact_table(spark: SparkSession, name: str, file_bytes: int = DEFAULT_FILE_BYTES) -> bool:
-    """Compact an unpartitioned Parquet table; a failure is logged and leaves the
-    table as it was. The target of a file stream is refused, because the stream
-    would go on with its old file log."""
+    """Compact an unpartitioned Parquet table. A refusal or a query error is logged
+    and leaves the table as it was. Refused are other providers, which have a
+    procedure of their own; the target of a file stream, because the stream would
+    go on with its old file log; and a table whose files changed meanwhile."""
     try:
         described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}")
-        location = described.filter("col_name = 'Location'").head().data_type
+        facts = {r.col_name: r.data_type for r in described.filter("col_name IN ('Location', 'Provider')").collect()}
+        if facts.get("Provider", "").lower() != "parquet":
+            raise ValueError("not a Parquet table, use the rewrite procedure of its catalog")
+        location = facts["Location"]
         if any(c.isPartition for c in spark.catalog.listColumns(name)):
             raise ValueError("the table is partitioned, compact its folder with partition_by")
         if _is_stream_sink(spark, location):
             raise ValueError("the table is written by a stream")
-        target = fresh_path(spark, name.replace(".", "/"))
+        target = version_path(spark, name)
         schema = spark.table(name).schema
+        before = _files_digest(spark, location)
         compact_folder(spark, location, target, file_bytes)
+        if _files_digest(spark, location) != before:
+            raise ValueError("files were added or removed meanwhile")
         point_table_at(spark, name, target, schema)
         return True
-    except Exception as error:  # compaction is optional maintenance
+    except (ValueError, PySparkException) as error:  # compaction is optional maintenance
         log.warning("compaction of %s skipped: %s", name, error)
         return False

@@ -38,6 +38,17 @@ class Slices:
                 "upperBound": self.upper, "numPartitions": str(self.count)}
 
 
+def slices_over(spark: SparkSession, table: JdbcTable, column: str, count: int) -> Slices:
+    """Slices between the least and the greatest value that the database reports for ``column``."""
+    options = table.options()
+    source = options.pop("dbtable")
+    query = f"SELECT min({column}) AS low, max({column}) AS high FROM {source}"
+    low, high = spark.read.format("jdbc").options(**options, query=query).load().head()
+    if low is None:
+        raise ValueError(f"no value of {column} to slice by")
+    return Slices(column, str(low), str(high), count)
+
+
 def read_jdbc(spark: SparkSession, table: JdbcTable, slices: Slices | None = None, fetch_size: int = 10000) -> DataFrame:
     options = {**table.options(), "fetchsize": str(fetch_size), **(slices.options() if slices else {})}
     return spark.read.format("jdbc").options(**options).load()
@@ -46,13 +57,13 @@ def read_jdbc(spark: SparkSession, table: JdbcTable, slices: Slices | None = Non
 def write_jdbc(df: DataFrame, table: JdbcTable, mode: str = "overwrite", batch_size: int = 10000,
                connections: int = 16) -> None:
     """``overwrite`` empties and refills the table, keeping its definition; ``append`` adds rows.
-    At most ``connections`` tasks write at a time."""
+    ``connections`` tasks write; what comes before them keeps its own parallelism."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unsupported write mode: {mode}")
     options = {**table.options(), "batchsize": str(batch_size), "numPartitions": str(connections)}
     if mode == "overwrite":
         options["truncate"] = "true"
-    df.write.format("jdbc").options(**options).mode(mode).save()
+    df.repartition(connections).write.format("jdbc").options(**options).mode(mode).save()
 
 
 # Column types of the relational feature table.

@@ -175,6 +175,19 @@ def test_members_have_one_shape_at_any_size(spark, size):
     assert rows(members(pairs, "k", "m", "total", size + 1)) == []
 
 
+def test_csv_files_bind_by_name_and_hold_one_row_per_key(spark, gold_rows, tmp_path):
+    built = graph.snapshot(gold_rows([{"mcc": "1\n2"}, {"merchant": "m2", "card": "c2"}]), "g")
+    graph_files.write_graph(built, str(tmp_path))
+    merchants = built.nodes["merchants"]
+    merchants.unionAll(merchants).select("mcc", "merchant_id", "country").write.mode("overwrite").options(
+        header=True, escape='"').csv(f"{tmp_path}/merchants")
+    extra = spark.createDataFrame([("c1", "nowhere"), ("c1", "d1")], "card_id string, device_id string")
+    extra.write.mode("append").option("header", True).csv(f"{tmp_path}/rel_card_device")
+    loaded = graph_files.read_graph(spark, str(tmp_path))
+    assert sorted(rows(loaded.nodes["merchants"])) == sorted(rows(merchants.select("merchant_id", "country", "mcc")))
+    assert sorted(rows(loaded.edges["used_on"])) == [("c1", "d1"), ("c2", "d1")]
+
+
 def test_csv_snapshot_files(spark, gold_rows, tmp_path):
     tricky = 'high_amount, "quoted", x'
     built = graph.snapshot(gold_rows([{"alert": True, "reasons": tricky, "score": 12, "amount": 1.25}, {"payment": "p9", "card": "c2"}]), "g")

@@ -185,3 +185,20 @@ def test_shared_folder_comes_from_the_session(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
     assert fresh_path(spark, "x").startswith(shared_dir(spark))
     assert stage(spark.range(5), "five").count() == 5
+
+
+def test_export_of_text_times_never_fails(spark):
+    df = spark.createDataFrame([("a", "2024-01-01 00:02:00 UTC"), ("b", "not-a-date"), ("c", None), ("d", "2024-01-02T00:00:00Z")],
+                               "payment_id string, event_time string")
+    assert [r.payment_id for r in files.select_export(df, end="2024-01-01T12:00:00Z").collect()] == ["a"]
+    assert files.select_export(df).count() == 4
+
+
+def test_versions_lie_below_the_warehouse_and_other_providers_are_refused(spark):
+    name = f"kept_{uuid.uuid4().hex}"
+    tables.replace_table(spark.range(5).toDF("n"), name)
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").head().data_type
+    assert spark.conf.get("spark.sql.warehouse.dir").split(":")[-1] in place and "/versions/" in place
+    other = f"other_{uuid.uuid4().hex}"
+    spark.range(5).write.format("json").saveAsTable(other)
+    assert tables.compact_table(spark, other) is False and spark.table(other).count() == 5

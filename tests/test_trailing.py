@@ -88,3 +88,16 @@ def test_peers_in_one_second_count_each_other(spark):
 def test_seconds_before_1970(spark):
     rows = [("a", -10, "p1", "m1", "ES", 0), ("a", 5, "p2", "m2", "ES", 0)]
     assert computed(spark, rows, 600) == naive(rows)
+
+
+def test_means_of_fractions_and_of_nothing(spark):
+    rows = spark.createDataFrame(
+        [("c", 0, 0.5, None), ("c", 10, 0.9, None), ("c", 20, float("nan"), None), ("d", 0, None, None)],
+        "card string, second long, part double, none int",
+    )
+    specs = [Trailing("part_mean", "mean", "part", 60), Trailing("none_mean", "mean", "none", 60)]
+    found = {(r.card, r.second): r for r in trailing_features(rows, "card", "second", specs).collect()}
+    assert [round(found["c", s].part_mean, 9) for s in (0, 10, 20)] == [0.5, 0.7, 0.7]
+    assert found["d", 0].part_mean is None and all(r.none_mean is None for r in found.values())
+    with pytest.raises(ValueError, match="median"):
+        Trailing("x", "median", "part", 60)
