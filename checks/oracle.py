@@ -279,16 +279,33 @@ def _counts(parts: dict[str, str]) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS metric, count(*) AS total FROM ({s})" for n, s in parts.items())
 
 
-_ANALYSES = {
-    "high_risk_transactions": "SELECT 1 FROM consolidated WHERE risk_score >= 70 OR status = 'declined'",
-    "suspicious_cards": _cards(""),
-    "geo_fraud_patterns": _GEO,
-}
+def _analysis_rows(transactions: str, cards: str, places: str) -> str:
+    return f"""
+SELECT 'high_risk_transactions' AS dataset, payment_id AS id, CAST(round(risk_score) AS BIGINT) AS total FROM consolidated WHERE {transactions}
+UNION ALL SELECT 'suspicious_cards', card_id, total_tx FROM ({cards})
+UNION ALL SELECT 'geo_fraud_patterns', country || ' ' || hour_bucket, total_tx FROM ({places})"""
+
+
+_OTHER_CARDS = """
+SELECT card_id, count(*) AS total_tx FROM consolidated GROUP BY card_id
+HAVING count(*) FILTER (risk_score >= 80) >= 3 OR max(tx_5m) >= 6 OR count(DISTINCT country) >= 4"""
+_OTHER_GEO = """
+SELECT country, strftime(date_trunc('hour', event_time), '%Y-%m-%d %H:%M:%S') AS hour_bucket, count(*) AS total_tx
+FROM consolidated GROUP BY country, date_trunc('hour', event_time)
+HAVING bool_or(risk_score >= 80) OR bool_or(status = 'declined') OR max(countries_1h) >= 3 OR country = 'MX'"""
+_EARLY_OR_LATE = "(SELECT * FROM gold WHERE event_time < TIMESTAMP '2024-01-01 01:00:00' OR event_time >= TIMESTAMP '2024-01-01 02:00:00')"
+_NODE_IDS = """
+SELECT DISTINCT 'customers' AS label, customer_id AS id FROM gold
+UNION ALL SELECT DISTINCT 'cards', card_id FROM gold
+UNION ALL SELECT DISTINCT 'devices', device_id FROM gold
+UNION ALL SELECT DISTINCT 'merchants', merchant_id FROM gold
+UNION ALL SELECT DISTINCT 'payments', payment_id FROM gold"""
 
 ORACLE_SQL: dict[str, str] = {
     "bronze_parse": _sql([PAYMENTS], _MESSAGES),
     "bronze_ingest": _sql([PAYMENTS], _MESSAGES),
     "bronze_resume": _sql([PAYMENTS], _MESSAGES),
+    "bronze_timed": _sql([PAYMENTS], _MESSAGES),
     "silver_clean": _sql([PAYMENTS, CLEAN], f"SELECT {_time()}, {EVENT}, {_time('ingestion_ts')} FROM clean"),
     "silver_features": _sql(TO_SILVER, f"SELECT {_time()}, {EVENT}, {_time('ingestion_ts')}, {FEATURES} FROM silver"),
     "silver_features_short": _sql(TO_SILVER, f"SELECT {_time()}, {SHORT_EVENT}, {FEATURES} FROM silver"),
@@ -313,6 +330,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "alerts_per_hour": _sql(TO_GOLD, _HOURS),
     "alerts_first_24_hours": _sql(TO_GOLD, _HOURS + " LIMIT 24"),
+    "alerts_first_3_hours": _sql(TO_GOLD, _HOURS + " LIMIT 3"),
     "top_merchants": _sql(TO_GOLD, _riskiest("merchant_id", 20)),
     "top_merchants_10": _sql(TO_GOLD, _riskiest("merchant_id", 10)),
     "top_cards": _sql(TO_GOLD, _riskiest("card_id", 20)),
@@ -349,42 +367,68 @@ FROM consolidated WHERE risk_score >= 70 OR status = 'declined'""",
     "risk_cards_sql": _sql(TO_ELT, _cards("")),
     "risk_geo": _sql(TO_ELT, _GEO),
     "risk_geo_sql": _sql(TO_ELT, _GEO_SQL),
-    "analysis_io": _sql(TO_ELT, _counts(_ANALYSES)),
-    "analysis_tables": _sql(TO_ELT, _counts({**_ANALYSES, "geo_fraud_patterns": _GEO_SQL})),
+    "analysis_io": _sql(TO_ELT, _analysis_rows("risk_score >= 70 OR status = 'declined'", _cards(""), _GEO)),
+    "analysis_limits": _sql(TO_ELT, _analysis_rows("risk_score >= 80 OR status = 'declined'", _OTHER_CARDS, _OTHER_GEO)),
+    "analysis_tables": _sql(TO_ELT, _analysis_rows("risk_score >= 70 OR lower(status) = 'declined'", _cards(""), _GEO_SQL)),
+    "analysis_summary": """
+SELECT unnest(['high_risk_transactions', 'suspicious_cards', 'geo_fraud_patterns']) AS dataset,
+       unnest(['/high_risk_transactions', '/suspicious_cards', '/geo_fraud_patterns']) AS output_path""",
     "gold_export": _sql(
         TO_GOLD,
         f"""SELECT {ALERT}, {_time()}, strftime(event_time, '%Y') AS year, strftime(event_time, '%m') AS month,
        strftime(event_time, '%d') AS day FROM alerts WHERE event_time >= TIMESTAMP '2024-01-01 00:30:00'""",
     ),
-    "compaction": _sql(TO_GOLD, "SELECT payment_id, amount, risk_score FROM gold"),
+    "gold_export_all": _sql(
+        TO_GOLD,
+        f"""SELECT {ALERT}, {_time()}, strftime(event_time, '%Y') AS year, strftime(event_time, '%m') AS month,
+       strftime(event_time, '%d') AS day FROM alerts""",
+    ),
+    "compaction": _sql(
+        TO_GOLD,
+        f"SELECT {_time()}, {EVENT}, {_time('ingestion_ts')}, {FEATURES}, risk_score, reasons, reasons_text, is_alert FROM gold",
+    ),
+    "compaction_files": "SELECT true AS fewer, true AS as_asked, true AS bounded",
     "graph_staging": _sql(
         TO_GOLD,
         f"""SELECT {SHORT_EVENT}, payment_group_id, {_time()}, risk_score, reasons_text, is_alert FROM gold
 WHERE event_time >= TIMESTAMP '2024-01-01 01:00:00' AND event_time < TIMESTAMP '2024-01-01 04:00:00'""",
     ),
-    "graph_nodes": _sql(
-        TO_GOLD,
-        """
-SELECT DISTINCT 'customers' AS label, customer_id AS id FROM gold
-UNION ALL SELECT DISTINCT 'cards', card_id FROM gold
-UNION ALL SELECT DISTINCT 'devices', device_id FROM gold
-UNION ALL SELECT DISTINCT 'merchants', merchant_id FROM gold
-UNION ALL SELECT DISTINCT 'payments', payment_id FROM gold""",
-    ),
+    "graph_nodes": _sql(TO_GOLD, _NODE_IDS),
     "graph_merchants": _sql(TO_GOLD, _MERCHANTS),
     "graph_payment_nodes": _sql(TO_GOLD, f"SELECT {PAYMENT_NODE}, 'full' AS graph_name FROM gold"),
     "graph_edges": _sql(TO_GOLD, _EDGES),
     "graph_counts": _sql(
-        TO_GRAPH,
+        TO_GOLD,
         """
-SELECT 'rows' AS dataset, count(*) AS total FROM late
-UNION ALL SELECT 'customers', count(DISTINCT customer_id) FROM late
-UNION ALL SELECT 'cards', count(DISTINCT card_id) FROM late
-UNION ALL SELECT 'devices', count(DISTINCT device_id) FROM late
-UNION ALL SELECT 'merchants', count(DISTINCT merchant_id) FROM late
-UNION ALL SELECT 'payments', count(DISTINCT payment_id) FROM late""",
+SELECT 'rows' AS dataset, count(*) AS total FROM gold
+UNION ALL SELECT 'customers', count(DISTINCT customer_id) FROM gold
+UNION ALL SELECT 'cards', count(DISTINCT card_id) FROM gold
+UNION ALL SELECT 'devices', count(DISTINCT device_id) FROM gold
+UNION ALL SELECT 'merchants', count(DISTINCT merchant_id) FROM gold
+UNION ALL SELECT 'payments', count(DISTINCT payment_id) FROM gold""",
+    ),
+    "graph_csv_roundtrip": _sql(TO_GOLD, f"SELECT {PAYMENT_NODE}, 'full' AS graph_name FROM gold"),
+    "graph_csv_nodes": _sql(TO_GOLD, _NODE_IDS),
+    "graph_csv_edges": _sql(TO_GOLD, _EDGES),
+    "graph_reload": _sql(
+        TO_GOLD,
+        f"""SELECT {PAYMENT_NODE},
+  CASE WHEN g.event_time >= TIMESTAMP '2024-01-01 02:00:00' THEN 'late' ELSE 'early' END AS graph_name FROM {_EARLY_OR_LATE} g""",
+    ),
+    "graph_reload_edges": _sql(
+        TO_GOLD,
+        f"""
+SELECT DISTINCT 'owns_card' AS edge, customer_id AS source, card_id AS target FROM gold
+UNION ALL SELECT DISTINCT 'used_on', card_id, device_id FROM gold
+UNION ALL SELECT DISTINCT 'authorized', card_id, payment_id FROM {_EARLY_OR_LATE}
+UNION ALL SELECT DISTINCT 'at_merchant', payment_id, merchant_id FROM {_EARLY_OR_LATE}""",
+    ),
+    "graph_dangling_edges": _sql(
+        TO_GOLD,
+        f"""
+SELECT * FROM ({_EDGES}) WHERE NOT (edge = 'owns_card' AND ends_with(target, '7'))
+AND NOT (edge IN ('used_on', 'authorized') AND ends_with(source, '7'))""",
     ),
-    "graph_csv_roundtrip": _sql(TO_GRAPH, f"SELECT {PAYMENT_NODE}, 'late' AS graph_name FROM late"),
     "graph_upsert": _sql(
         TO_GOLD,
         f"""SELECT {PAYMENT_NODE},
@@ -403,7 +447,7 @@ UNION ALL SELECT 'payments', count(DISTINCT payment_id) FROM late""",
     "graph_upsert_edges": _sql(TO_GOLD, _EDGES),
     "graph_key_violations": _sql(
         TO_GOLD,
-        "SELECT 'payments' AS label, payment_id AS id, count(*) AS copies FROM gold GROUP BY payment_id HAVING count(*) > 1",
+        "SELECT DISTINCT 'cards' AS label, card_id AS id, CAST(2 AS BIGINT) AS copies FROM gold WHERE ends_with(card_id, '7')",
     ),
     "graph_shared_devices": _sql(TO_GRAPH, _shared_devices(_LATE_CARDS)),
     "graph_shared_devices_all": _sql(TO_GRAPH, _shared_devices("SELECT * FROM used_on")),

@@ -56,6 +56,17 @@ def _ingest_all(spark: SparkSession, inbox: str, table: str, checkpoint: str) ->
     ingest.supervise(query)
 
 
+def bronze_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timed batches of at most one file each, stopped by the time limit, then the rest with the same checkpoint."""
+    table, inbox, checkpoint = _new_bronze_table(configure(spark), "bronze_timed")
+    messages(spark, sf_dir).repartition(4).write.text(inbox)
+    stream = ingest.message_stream(spark, "text", path=inbox, max_per_trigger=1)
+    query = ingest.start_ingest(ingest.bronze_rows(stream), table, checkpoint, interval_seconds=1, query_name=table)
+    ingest.supervise(query, timeout_seconds=8)
+    _ingest_all(spark, inbox, table, checkpoint)
+    return spark.table(table).select(*EVENT_COLUMNS)
+
+
 def _new_bronze_table(spark: SparkSession, name: str) -> tuple[str, str, str]:
     root = fresh_path(spark, name)
     table = f"{name}_{root[-32:]}"
@@ -128,8 +139,20 @@ def consolidated_io(layer: Layers) -> DataFrame:
     return read_bounded(layer.spark, path)
 
 
+def _analysis_rows(transactions: DataFrame, cards: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of the three analyses: ``dataset``, ``id``, ``total``."""
+    hour = F.date_format(F.col("hour_bucket").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    parts = [
+        ("high_risk_transactions", transactions, F.col("payment_id"), F.round(F.col("risk_score").cast("double"))),
+        ("suspicious_cards", cards, F.col("card_id"), F.col("total_tx")),
+        ("geo_fraud_patterns", places, F.concat_ws(" ", "country", hour), F.col("total_tx")),
+    ]
+    rows = [df.select(F.lit(n).alias("dataset"), k.alias("id"), t.cast("long").alias("total")) for n, df, k, t in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def analysis_tables(layer: Layers) -> DataFrame:
-    """The query-service variant: three external tables, counted."""
+    """The query-service variant: three external tables."""
     root = fresh_path(layer.spark, "analysis_tables")
     base = analysis.typed(layer.consolidated)
     built = {
@@ -137,25 +160,35 @@ def analysis_tables(layer: Layers) -> DataFrame:
         "suspicious_cards": analysis.suspicious_cards_sql(base),
         "geo_fraud_patterns": analysis.geo_patterns_sql(base),
     }
-    counted = {}
+    names = {name: f"{name}_{root[-32:]}" for name in built}
     for name, df in built.items():
-        table = f"{name}_{root[-32:]}"
-        tables.table_as_select(df, table, f"{root}/{name}")
-        counted[name] = layer.spark.table(table)
-    return dashboards.layer_counts(counted)
+        tables.table_as_select(df, names[name], f"{root}/{name}")
+    return _analysis_rows(*[layer.spark.table(table) for table in names.values()])
 
 
-def analysis_io(layer: Layers) -> DataFrame:
-    """All three analyses written as CSV and counted after reading them back."""
+def _analyses_from_csv(layer: Layers, limits: analysis.AnalysisLimits) -> DataFrame:
     root = fresh_path(layer.spark, "analysis_io")
-    analysis.write_analyses(layer.spark, analysis.typed(layer.consolidated), root, "csv")
+    summary = analysis.write_analyses(layer.spark, analysis.typed(layer.consolidated), root, "csv", limits=limits)
+    paths = {r.dataset: r.output_path for r in summary.collect()}  # three paths
     names = ("high_risk_transactions", "suspicious_cards", "geo_fraud_patterns")
-    return dashboards.layer_counts({n: layer.spark.read.option("header", True).csv(f"{root}/{n}") for n in names})
+    return _analysis_rows(*[layer.spark.read.option("header", True).csv(paths[n]) for n in names])
+
+
+def analysis_io(layer: Layers) -> DataFrame:
+    """All three analyses written as CSV and read back."""
+    return _analyses_from_csv(layer, analysis.AnalysisLimits())
+
+
+def analysis_limits(layer: Layers) -> DataFrame:
+    """As ``analysis_io``, with every limit changed."""
+    return _analyses_from_csv(layer, analysis.AnalysisLimits(80, 3, 6, 4, 3, "MX"))
 
 
 def analysis_summary(layer: Layers) -> DataFrame:
+    """The summary with paths relative to the output folder."""
     root = fresh_path(layer.spark, "analysis_summary")
-    return analysis.write_analyses(layer.spark, analysis.typed(layer.consolidated), root)
+    found = analysis.write_analyses(layer.spark, analysis.typed(layer.consolidated), root)
+    return found.withColumn("output_path", F.replace("output_path", F.lit(root), F.lit("")))
 
 
 def gold_export(layer: Layers) -> DataFrame:
@@ -167,27 +200,94 @@ def gold_export(layer: Layers) -> DataFrame:
     ).json(path)
 
 
+def gold_export_all(layer: Layers) -> DataFrame:
+    """All alerts exported as Parquet, whatever their time."""
+    path = fresh_path(layer.spark, "gold_export_all")
+    files.export_by_day(files.select_export(layer.alerts()), path, file_format="parquet")
+    options = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
+    reader = layer.spark.newSession()
+    for key, value in options.items():
+        reader.conf.set(key, value)
+    reader.conf.set("spark.sql.session.timeZone", "UTC")
+    return comparable(reader.read.parquet(path))
+
+
 def compaction(layer: Layers) -> DataFrame:
     source, target = fresh_path(layer.spark, "scattered"), fresh_path(layer.spark, "compacted")
-    layer.gold.select("payment_id", "amount", "risk_score").repartition(24).write.parquet(source)
-    return tables.compact_folder(layer.spark, source, target)
+    layer.gold.repartition(24).write.parquet(source)
+    return tables.compact_folder(layer.spark, source, target).select(*layer.gold.columns)
 
 
-def graph_csv_roundtrip(layer: Layers) -> DataFrame:
+def compaction_files(layer: Layers) -> DataFrame:
+    """Whether compaction left fewer files, none much bigger than asked for."""
+    source, target = fresh_path(layer.spark, "scattered"), fresh_path(layer.spark, "compacted")
+    layer.gold.repartition(48).write.parquet(source)
+    before = tables.file_sizes(layer.spark, source).agg(F.count("*").alias("n"), F.sum("length").alias("size")).head()
+    wanted = max(before["size"] // 4, 1)
+    tables.compact_folder(layer.spark, source, target, wanted)
+    after = tables.file_sizes(layer.spark, target).agg(F.count("*").alias("n"), F.max("length").alias("largest"))
+    return after.select(
+        (F.col("n") < before["n"]).alias("fewer"), F.col("n").between(2, 12).alias("as_asked"),
+        (F.col("largest") <= 2 * wanted).alias("bounded"),
+    )
+
+
+def _graph_through_files(layer: Layers) -> graph.Graph:
+    """The full snapshot written as files, with a second copy of some nodes and with dangling edges, and read back."""
     root = fresh_path(layer.spark, "graph_csv")
-    graph_files.write_graph(layer.snapshot("late", LATE), root)
-    return graph_files.read_graph(layer.spark, root).nodes["payments"]
+    full = layer.snapshot("full", (None, None))
+    nodes = {label: df.unionByName(df.filter(F.col(graph.NODE_KEYS[label]).endswith("3"))) for label, df in full.nodes.items()}
+    edges = dict(full.edges)
+    astray = edges["used_on"].select("card_id", F.concat(F.lit("lost-"), "device_id").alias("device_id"))
+    edges["used_on"] = edges["used_on"].unionByName(astray)
+    graph_files.write_graph(graph.Graph(nodes, edges), root)
+    return graph_files.read_graph(layer.spark, root)
+
+
+def graph_csv_roundtrip(layer: Layers) -> DataFrame:
+    return _graph_through_files(layer).nodes["payments"]
+
+
+def graph_csv_nodes(layer: Layers) -> DataFrame:
+    return _node_ids(_graph_through_files(layer).nodes)
+
+
+def graph_csv_edges(layer: Layers) -> DataFrame:
+    return _edge_rows(_graph_through_files(layer).edges)
 
 
 # --- graph ---------------------------------------------------------------------
 
 
-def graph_nodes(layer: Layers) -> DataFrame:
-    found = layer.snapshot("full", (None, None)).nodes
+def _node_ids(found: dict[str, DataFrame]) -> DataFrame:
     ids = [found[label].select(F.lit(label).alias("label"), F.col(key).alias("id")) for label, key in graph.NODE_KEYS.items()]
     return ids[0].unionByName(ids[1]).unionByName(ids[2]).unionByName(ids[3]).unionByName(ids[4])
 
 
+def graph_nodes(layer: Layers) -> DataFrame:
+    return _node_ids(layer.snapshot("full", (None, None)).nodes)
+
+
+def _reloaded(layer: Layers) -> graph.Graph:
+    """The stored graph after its early snapshot is loaded again with only the first hour."""
+    return graph.load_snapshot(layer.stored_graph, layer.snapshot("early", (None, "2024-01-01T01:00:00Z")), "early")
+
+
+def graph_key_violations(layer: Layers) -> DataFrame:
+    """The stored graph with a second copy of some cards."""
+    stored = layer.stored_graph
+    cards = stored.nodes["cards"]
+    doubled = cards.unionByName(cards.filter(F.col("card_id").endswith("7")))
+    return graph.key_violations(graph.Graph({**stored.nodes, "cards": doubled}, stored.edges))
+
+
+def graph_dangling_edges(layer: Layers) -> DataFrame:
+    """Edges that remain when some cards are missing."""
+    found = layer.snapshot("full", (None, None))
+    cards = found.nodes["cards"].filter(~F.col("card_id").endswith("7"))
+    return _edge_rows(graph.resolve_edges(found.edges, {**found.nodes, "cards": cards}))
+
+
 def _edge_rows(edges: dict[str, DataFrame]) -> DataFrame:
     rows = [
         edges[name].select(F.lit(name).alias("edge"), F.col(source).alias("source"), F.col(target).alias("target"))
@@ -233,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "bronze_parse": bronze_parse,
     "bronze_ingest": bronze_ingest,
     "bronze_resume": bronze_resume,
+    "bronze_timed": bronze_timed,
     "silver_clean": silver_clean,
     "silver_features": silver_features,
     "silver_features_short": silver_features_short,
@@ -249,6 +350,7 @@ QUERIES: dict[str, Query] = {
     ),
     "alerts_per_hour": _on(lambda l: dashboards.alerts_per_hour(l.alerts())),
     "alerts_first_24_hours": _on(lambda l: dashboards.alerts_per_hour(l.alerts(), 24)),
+    "alerts_first_3_hours": _on(lambda l: dashboards.alerts_per_hour(l.alerts(), 3)),
     "top_merchants": flagship,
     "top_merchants_10": _on(lambda l: dashboards.riskiest(l.alerts(), "merchant_id", 10)),
     "top_cards": _on(lambda l: dashboards.riskiest(l.alerts(), "card_id")),
@@ -269,21 +371,29 @@ QUERIES: dict[str, Query] = {
     "risk_geo": _on(lambda l: analysis.geo_patterns(analysis.typed(l.consolidated))),
     "risk_geo_sql": _on(lambda l: analysis.geo_patterns_sql(analysis.typed(l.consolidated))),
     "analysis_io": _on(analysis_io),
+    "analysis_limits": _on(analysis_limits),
     "analysis_tables": _on(analysis_tables),
     "analysis_summary": _on(analysis_summary),
     "gold_export": _on(gold_export),
+    "gold_export_all": _on(gold_export_all),
     "compaction": _on(compaction),
+    "compaction_files": _on(compaction_files),
     "graph_staging": _on(lambda l: graph.staging(l.gold, "2024-01-01T01:00:00Z", "2024-01-01T04:00:00Z")),
     "graph_nodes": _on(graph_nodes),
     "graph_merchants": _on(lambda l: l.snapshot("full", (None, None)).nodes["merchants"]),
     "graph_payment_nodes": _on(lambda l: l.snapshot("full", (None, None)).nodes["payments"]),
     "graph_edges": _on(graph_edges),
-    "graph_counts": _on(lambda l: graph.export_counts(graph.staging(l.gold, *LATE))),
+    "graph_counts": _on(lambda l: graph.export_counts(graph.staging(l.gold))),
     "graph_csv_roundtrip": _on(graph_csv_roundtrip),
+    "graph_csv_nodes": _on(graph_csv_nodes),
+    "graph_csv_edges": _on(graph_csv_edges),
     "graph_upsert": _on(lambda l: l.store().nodes["payments"]),
     "graph_upsert_merchants": _on(lambda l: l.store().nodes["merchants"]),
     "graph_upsert_edges": _on(lambda l: _edge_rows(l.store().edges)),
-    "graph_key_violations": _on(lambda l: graph.key_violations(l.stored_graph)),
+    "graph_reload": _on(lambda l: _reloaded(l).nodes["payments"]),
+    "graph_reload_edges": _on(lambda l: _edge_rows(_reloaded(l).edges)),
+    "graph_key_violations": _on(graph_key_violations),
+    "graph_dangling_edges": _on(graph_dangling_edges),
     "graph_shared_devices": _on(lambda l: graph.shared_devices(l.stored_graph, "late")),
     "graph_shared_devices_all": _on(lambda l: graph.shared_devices(l.stored_graph)),
     "graph_multi_country_cards": _on(lambda l: graph.multi_country_cards(l.stored_graph, "late", 4)),
