@@ -13,7 +13,7 @@ from checks.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
-WITHOUT_ORACLE = {"analysis_summary", "classifier_metrics"}
+WITHOUT_ORACLE = {"classifier_metrics"}
 
 
 @pytest.fixture(scope="module")
