@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paysignal.llm import (
-    html_extraction, huffman_ids, language_id, ngram_join, packing, piece_scan, pivot_index, quality, substring_dedup, toxicity,
+    html_extraction, huffman_ids, language_id, ngram_join, packing, piece_scan, pivot_index, quality, sharding, spelling, substring_dedup, toxicity,
+    whitening,
 )
 from paysignal.llm.rows import bounded_batches, remainder, vocabulary_path
 from paysignal.session import fresh_path
@@ -75,6 +76,20 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_ids.read_ids(spark, path, with_ids=False).withColumnRenamed("id", "doc_id")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = sharding.shard_table(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return table.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bounded_batches(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.component_rows(rows, whitening.fit(rows))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -86,6 +101,69 @@ QUERIES = {
     "op8_piece_scan": op8_piece_scan,
     "op9_html_extraction": op9_html_extraction,
     "op10_huffman_ids": op10_huffman_ids,
+    "op11_sharding": op11_sharding,
+    "op12_whitening": op12_whitening,
+    "op13_spelling": op13_spelling,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# crc32 of the UTF-8 bytes of a text, from the remainders of the 256 bytes
+_CRC = """
+    step(b, k, c) AS (
+        SELECT b, 0, b::BIGINT FROM range(256) r(b)
+        UNION ALL
+        SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+    remainders AS (SELECT list(c ORDER BY b) AS t FROM step WHERE k = 8)"""
+
+
+def _crc_of(text: str) -> str:
+    return f"""xor(4294967295::BIGINT, list_reduce(
+        list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda p: ('0x' || p)::BIGINT),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_sharding": f"""
+        WITH RECURSIVE {_CRC},
+        sized AS (
+            SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_crc_of("coalesce(text, '')")} AS text_crc32
+            FROM documents, remainders),
+        placed AS (
+            SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING) - size AS start,
+                row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) AS place, sum(size) OVER () AS total
+            FROM sized),
+        sharded AS (SELECT *, ((2 * start + size) * 16 // (2 * total))::INT AS shard FROM placed)
+        SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+            (place - min(place) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INT AS grown_shard
+        FROM sharded""",
+    "op13_spelling": f"""
+        WITH RECURSIVE {_CRC},
+        runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run,
+                count(*) AS times
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+            WHERE length(run) >= 6 GROUP BY ALL),
+        hashed AS (SELECT run, times, {_crc_of("id || ':' || run")} AS h FROM runs, remainders),
+        words AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                sum(times)::BIGINT AS n
+            FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(times) >= 5),
+        shorter AS (
+            SELECT DISTINCT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+        pairs AS (
+            SELECT a.word AS word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word),
+        best AS (
+            SELECT word, count(*) AS n_near, max(near_n) AS most,
+                first(near ORDER BY near_n DESC, encode(near)) AS near FROM pairs GROUP BY word),
+        formed AS (
+            SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= 5 * w.n THEN near END AS form,
+                CASE WHEN most >= 5 * w.n THEN most END AS form_n
+            FROM words w LEFT JOIN best USING (word)),
+        followed AS (
+            SELECT word, word AS at, form AS next FROM formed
+            UNION ALL SELECT f.word, f.next, g.form FROM followed f JOIN formed g ON f.next = g.word)
+        SELECT f.word, f.form, r.at AS root, f.n, f.n_near, f.form_n::BIGINT AS form_n
+        FROM formed f JOIN followed r ON f.word = r.word AND r.next IS NULL""",
+}
