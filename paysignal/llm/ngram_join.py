@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 
 from paysignal.llm.grouped import block_tasks, group_limits, segments, spanning, spread_join
 from paysignal.llm.rows import KEYS, components, row_keys
-from paysignal.llm.words import find_words, hash_windows, hash_words, row_slices, text_buffers, window_rows
+from paysignal.llm.task_memory import tidy
+from paysignal.llm.words import HOLDER, find_words, hash_windows, hash_words, row_slices, text_buffers, window_rows
 from paysignal.session import stage
 
 SHINGLE = 5
@@ -113,7 +114,7 @@ def signatures(docs: DataFrame, id_column: str, text_column: str, size: int, n_t
                     names=["_id", "_k1", "_k2", "node", "check", "tokens"])
 
     keyed = docs.select(F.col(id_column).alias("_id"), *row_keys(id_column, text_column), F.col(text_column))
-    return keyed.mapInArrow(run, schema)
+    return keyed.mapInArrow(tidy(run, HOLDER), schema)
 
 
 def _children(rows: DataFrame, level: int, levels: int) -> DataFrame:
@@ -166,7 +167,7 @@ def candidate_links(classes: DataFrame, runs: int, levels: int, threshold: float
         met = stage(spread_join(rows, sizes, "bucket"), "buckets")
         few = met.filter(F.col("size") <= small).select("node", "bucket")
         few = few.join(classes.select("node", "tokens"), "node").repartition("bucket").sortWithinPartitions("bucket")
-        links = few.select("bucket", "node", "tokens").mapInArrow(_bucket_links(threshold - _AGREEMENT_MARGIN), "a long, b long")
+        links = few.select("bucket", "node", "tokens").mapInArrow(tidy(_bucket_links(threshold - _AGREEMENT_MARGIN)), "a long, b long")
         found = links if found is None else found.unionByName(links)
         large = met.filter(F.col("size") > small)
         if large.isEmpty():
@@ -242,7 +243,7 @@ def _shingles(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, shingles binary")
+    return docs.select("node", "text").mapInArrow(tidy(run, HOLDER), "node long, shingles binary")
 
 
 def jaccard_groups(
@@ -268,7 +269,7 @@ def jaccard_groups(
     tasks = block_tasks(members, ["component"], F.col("n"), "node", block).select("task", "node", "members", "side", "cross")
     tasks = tasks.join(sets, "node").repartition("task").sortWithinPartitions("task")
     found = stage(tasks.select("task", "node", "members", "side", "cross", "shingles").mapInArrow(
-        _exact(threshold), "a long, b long, links long"), "links")
+        tidy(_exact(threshold)), "a long, b long, links long"), "links")
     linked = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = components(found)
     whole = classes.select("node", "members", "least").join(linked, "node", "left").join(joined, "node", "left").select(

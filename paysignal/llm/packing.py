@@ -28,14 +28,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from paysignal.llm.unit_tokens import encoder, id_bytes
+from paysignal.llm.task_memory import tidy
+from paysignal.llm.unit_tokens import HOLDER, encoder, id_bytes
 from paysignal.llm.words import row_slices, text_buffers
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 STEP_WINDOWS = 16
 _BATCH_TOKENS = 2 << 20
-_SLICE_BYTES = 8 << 20
+_SLICE_BYTES = 2 << 20
+CACHE_UNITS = 200_000
 
 
 class Packer:
@@ -121,7 +123,7 @@ def pack_documents(
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, packer = encoder(vocabulary, False), Packer(tiers)
+        coder, packer = encoder(vocabulary, False, CACHE_UNITS), Packer(tiers)
         base = TaskContext.get().partitionId() << 33
         made = 0
         in_tier = dict.fromkeys(tiers, 0)
@@ -182,4 +184,4 @@ def pack_documents(
         write(packer.finish())
         yield from rows()
 
-    return docs.select(id_column, text_column).mapInArrow(run, schema)
+    return docs.select(id_column, text_column).mapInArrow(tidy(run, HOLDER), schema)

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paysignal.llm.rows import labelled_sample
+from paysignal.llm.task_memory import tidy
 from paysignal.llm.words import row_slices, text_buffers
 
 BUCKETS = 1 << 18
@@ -111,6 +112,9 @@ class Model:
     def __post_init__(self) -> None:
         self._cache: dict[str, float] = {}
 
+    def forget(self) -> None:
+        self._cache.clear()
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         cache = self._cache
         new = [w for w in words if w not in cache]
@@ -292,4 +296,4 @@ def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame
                 [*batch.columns, pa.array(np.concatenate(found) if found else [], pa.float64())],
                 names=[*batch.schema.names, "score"])
 
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(tidy(run, after=lambda: sent.value.forget()), schema)

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from paysignal.llm.task_memory import holders
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CACHE_UNITS = 500_000
@@ -212,13 +214,15 @@ class UnitEncoder:
 
 
 _encoders: dict[tuple[str, bool], UnitEncoder] = {}
+HOLDER = "units"
+holders[HOLDER] = _encoders.clear
 
 
-def encoder(path: str, keeps_space: bool) -> UnitEncoder:
-    """One encoder per worker process; its cache outlives the tasks."""
+def encoder(path: str, keeps_space: bool, cache_units: int = CACHE_UNITS) -> UnitEncoder:
+    """One encoder per worker process; its cache outlives the tasks, until a task of another operator clears it."""
     if (path, keeps_space) not in _encoders:
         _encoders.clear()
-        _encoders[(path, keeps_space)] = UnitEncoder(path, keeps_space)
+        _encoders[(path, keeps_space)] = UnitEncoder(path, keeps_space, cache_units)
     return _encoders[(path, keeps_space)]
 
 

@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from paysignal.llm.task_memory import holders
+
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 
@@ -46,9 +48,14 @@ class _PowerTable:
             self.down = _powers(pow(self.base, -1, 1 << 64), size)
         return self.up[:n], self.down[:n]
 
+    def clear(self) -> None:
+        self.up = self.down = np.empty(0, dtype=np.uint64)
+
 
 _BYTE_POWERS = _PowerTable(_BYTE_BASE)
 _WORD_POWERS = _PowerTable(_WORD_BASE)
+HOLDER = "words"
+holders[HOLDER] = lambda: (_BYTE_POWERS.clear(), _WORD_POWERS.clear())
 
 
 def mix(h: np.ndarray) -> np.ndarray:
