@@ -122,6 +122,24 @@ def _crc_of(text: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": """
+        WITH numbered AS (
+            SELECT row_number() OVER () AS d, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []::VARCHAR[]) AS words
+            FROM documents),
+        placed AS (SELECT d, words, unnest(range(1, len(words) + 1)) AS i FROM numbered),
+        windows AS (
+            SELECT d, i, words[i] AS word, CASE WHEN i + 34 <= len(words) THEN sha256(array_to_string(words[i : i + 34], ' ')) END AS w
+            FROM placed),
+        judged AS (SELECT d, i, word, w IS NOT NULL AND count(*) OVER (PARTITION BY w) > 1 AS again FROM windows),
+        covered AS (
+            SELECT d, i, word, bool_or(again) OVER (PARTITION BY d ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS cut
+            FROM judged),
+        kept AS (
+            SELECT d, count(*) FILTER (WHERE cut) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT cut) AS text
+            FROM covered GROUP BY d)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+            sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM numbered LEFT JOIN kept USING (d)""",
     "op11_sharding": f"""
         WITH RECURSIVE {_CRC},
         sized AS (

@@ -4,7 +4,7 @@
    the least hash is its anchor; equal windows have equal anchors, and neighbours
    mostly share theirs, so about one anchor in twelve words is counted. Every task
    counts its anchors in a count-min sketch (``ROWS`` rows, counts up to two); the
-   sketches are merged block by block on Spark. As each occurrence of a window
+   sketches are merged on Spark, one block of cells at a time in a stream of entries. As each occurrence of a window
    counts an anchor occurrence, a merged cell never underestimates a window's
    count. What is kept is one bit per cell: two or more, or not.
 2. Exact pass. Windows whose anchor has all its bits set are grouped by a 96-bit
@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paysignal.llm.rows import KEYS, row_keys, text_bytes
+from paysignal.llm.task_memory import tidy
 from paysignal.llm.words import (
-    binary_column, find_words, hash_windows, hash_words, mix, packed, row_slices, text_buffers, window_rows,
+    HOLDER, binary_column, find_words, hash_windows, hash_words, mix, packed, row_slices, text_buffers, window_rows,
 )
 from paysignal.session import stage
 
@@ -131,16 +132,33 @@ def merged_sketch(texts: DataFrame, size: int, sub: int, cells: int) -> np.ndarr
                     n = 0
         yield from flush()
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Entries come sorted by row and block: one block is counted at a time, however many tasks sent entries for it."""
         count = np.zeros(1 << block_bits, dtype=np.uint8)
-        for once, more in zip(group["once"], group["more"], strict=True):
-            count[np.frombuffer(more, dtype="<u4")] = 2
-            at = np.frombuffer(once, dtype="<u4")
-            count[at] = np.minimum(count[at] + 1, 2)
-        return pd.DataFrame({"row": group["row"][:1], "block": group["block"][:1], "bits": [np.packbits(count == 2).tobytes()]})
-
-    partial = texts.mapInArrow(run, "row int, block int, once binary, more binary")
-    merged = partial.groupBy("row", "block").applyInPandas(merge, "row int, block int, bits binary")
+        current: tuple[int, int] | None = None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([current[0]], pa.int32()), pa.array([current[1]], pa.int32()),
+                 binary_column([np.packbits(count == 2).tobytes()])], names=["row", "block", "bits"])
+
+        for batch in batches:
+            once_column, more_column = batch.column("once"), batch.column("more")
+            for i, key in enumerate(zip(batch.column("row").to_pylist(), batch.column("block").to_pylist(), strict=True)):
+                if key != current:
+                    if current is not None:
+                        yield done()
+                    current = key
+                    count[:] = 0
+                count[np.frombuffer(more_column[i].as_buffer(), dtype="<u4")] = 2
+                at = np.frombuffer(once_column[i].as_buffer(), dtype="<u4")
+                count[at] = np.minimum(count[at] + 1, 2)
+        if current is not None:
+            yield done()
+
+    partial = texts.mapInArrow(tidy(run, HOLDER), "row int, block int, once binary, more binary")
+    dealt = partial.repartition("row", "block").sortWithinPartitions("row", "block")
+    merged = dealt.mapInArrow(tidy(merge), "row int, block int, bits binary")
     bits = np.zeros((ROWS, cells >> 3), dtype=np.uint8)
     width = 1 << block_bits >> 3
     for found in merged.toLocalIterator():  # bounded by the number of cells
@@ -281,7 +299,7 @@ def repeated_spans(
 
     keyed = docs.select(*row_keys(id_column, text_column), text_column)
     entries = keyed.mapInArrow(
-        run, "shard long, src long, kind int, keys binary, hashes binary, checks binary, refs binary")
+        tidy(run, HOLDER), "shard long, src long, kind int, keys binary, hashes binary, checks binary, refs binary")
     back = entries.groupBy("shard").applyInPandas(_repeated, "src long, keys binary, refs binary")
     spans = back.groupBy("src").applyInPandas(_spans_of(size), "_k1 long, _k2 long, _spans binary")
     return spans.groupBy(*KEYS).agg(F.first("_spans").alias("_spans"))  # equal rows have equal spans
@@ -338,4 +356,4 @@ def remove_repeats(
 
     keyed = plain.select("*", *row_keys(id_column, text_column))
     marked = keyed.join(spans, KEYS, "left").select(*names, "_spans")
-    return marked.mapInArrow(run, schema)
+    return marked.mapInArrow(tidy(run), schema)
