@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paysignal.llm.rows import text_bytes
-from paysignal.llm.unit_tokens import encoder, id_bytes
+from paysignal.llm.task_memory import tidy
+from paysignal.llm.unit_tokens import HOLDER, encoder, id_bytes
 from paysignal.llm.words import row_slices, text_buffers
 from paysignal.session import fresh_path
 
@@ -135,7 +136,7 @@ CHUNK_SCHEMA = "part int, chunk int, before long, n_ids int, docs binary, payloa
 
 
 def _tokenise(docs: DataFrame, id_column: str, text_column: str, vocabulary: str, end_id: int) -> DataFrame:
-    """Chunks of plain 16-bit ids; ``docs`` holds (id, number of ids) pairs of 64 bits."""
+    """Chunks of plain 16-bit ids; ``docs`` holds (id, number of ids, 1 for a null id) in 64 bits each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = encoder(vocabulary, True), TaskContext.get().partitionId()
@@ -160,8 +161,9 @@ def _tokenise(docs: DataFrame, id_column: str, text_column: str, vocabulary: str
             _, limits = text_buffers(batch.column(1))
             for lo, hi in row_slices(limits, _SLICE_BYTES):
                 ids, bounds = coder.encode(batch.column(1).slice(lo, hi - lo))
-                doc_ids = batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
-                doc_ids = np.where(np.isnan(doc_ids), np.iinfo(np.int64).min, doc_ids) if doc_ids.dtype.kind == "f" else doc_ids
+                own = batch.column(0).slice(lo, hi - lo)
+                unknown = own.is_null().to_numpy(zero_copy_only=False)
+                doc_ids = own.fill_null(0).to_numpy()  # filled first: numpy would turn ids beside a null into doubles
                 with_end = np.insert(ids, bounds[1:], end_id)
                 bounds = bounds + np.arange(len(bounds))
                 first = 0
@@ -170,14 +172,14 @@ def _tokenise(docs: DataFrame, id_column: str, text_column: str, vocabulary: str
                     stop = max(int(np.searchsorted(bounds, bounds[first] + room, side="right")) - 1, first + 1)
                     stop = min(stop, hi - lo)
                     parts.append(with_end[bounds[first] : bounds[stop]])
-                    keys.append(np.column_stack((doc_ids[first:stop].astype(np.int64), np.diff(bounds[first : stop + 1]))))
+                    keys.append(np.column_stack((doc_ids[first:stop], np.diff(bounds[first : stop + 1]), unknown[first:stop])))
                     held += int(bounds[stop] - bounds[first])
                     first = stop
                     if held >= CHUNK_IDS:
                         yield from flush()
         yield from flush()
 
-    return docs.select(F.col(id_column).cast("long"), text_column).mapInArrow(run, CHUNK_SCHEMA)
+    return docs.select(F.col(id_column).cast("long"), text_column).mapInArrow(tidy(run, HOLDER), CHUNK_SCHEMA)
 
 
 _ARROW = pa.schema([
@@ -228,7 +230,7 @@ def write_ids(
             for payload in batch.column("payload"):
                 coded, at = encode_ids(np.frombuffer(payload.as_buffer(), dtype="<u2"), codes, bits)
                 payloads.append(coded)
-                offsets.append(at.astype("<u4").tobytes())
+                offsets.append(at.astype("<u8").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:5], pa.array(payloads, pa.binary()), pa.array(offsets, pa.binary())], schema=_ARROW)
 
@@ -241,19 +243,18 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
     (little-endian, 32 bits)."""
     lengths = bytes(spark.read.parquet(f"{path}/codes").first()[0])
     schema = "id long, part int, before long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    null_id = int(np.iinfo(np.int64).min)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _tables(lengths)[2]
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
-                docs = np.frombuffer(row["docs"], dtype="<i8").reshape(-1, 2)
-                ids = decode_ids(row["payload"], np.frombuffer(row["offsets"], dtype="<u4"), row["n_ids"], table)
+                docs = np.frombuffer(row["docs"], dtype="<i8").reshape(-1, 3)
+                ids = decode_ids(row["payload"], np.frombuffer(row["offsets"], dtype="<u8"), row["n_ids"], table)
                 bounds = np.concatenate(([0], np.cumsum(docs[:, 1])))
                 raws = [id_bytes(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 columns = [
-                    pa.array(docs[:, 0], mask=docs[:, 0] == null_id), pa.array(np.full(len(docs), row["part"], np.int32)),
+                    pa.array(docs[:, 0], mask=docs[:, 2] == 1), pa.array(np.full(len(docs), row["part"], np.int32)),
                     pa.array(row["before"] + bounds[:-1]), pa.array(docs[:, 1]),
                     pa.array(np.array([zlib.crc32(r) for r in raws], dtype=np.int64)),
                 ] + ([pa.array(raws, pa.binary())] if with_ids else [])

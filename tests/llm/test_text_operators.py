@@ -249,6 +249,15 @@ def test_token_files_read_back(spark, docs, empty):
         assert ids == sorted(ids)
 
 
+def test_wide_ids_beside_null_ones(spark):
+    ids = [None, (1 << 53) + 1, (1 << 53) + 3, -(1 << 63), (1 << 63) - 1, 0, -(1 << 53) - 1]
+    rows = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string").coalesce(1)
+    path = fresh_path(spark, "token_files")
+    huffman_ids.write_ids(rows, path, vocabulary_path("byte_bpe_50k.json"), parts=2)
+    found = {r.id: r.ids_crc32 for r in huffman_ids.read_ids(spark, path).collect()}
+    assert found == {i: crc([*library_ids("byte_bpe_50k.json", f"text {i}"), 2]) for i in ids}
+
+
 def test_pieces_are_those_of_the_library(docs, empty):
     import sentencepiece
 
