@@ -306,6 +306,12 @@ ORACLE_SQL: dict[str, str] = {
     "bronze_ingest": _sql([PAYMENTS], _MESSAGES),
     "bronze_resume": _sql([PAYMENTS], _MESSAGES),
     "bronze_timed": _sql([PAYMENTS], _MESSAGES),
+    "bronze_progress": _sql(
+        [PAYMENTS],
+        """SELECT 4::BIGINT AS batches, (count(*) + count(*) FILTER (WHERE event_time = 'not-a-date'))::BIGINT AS messages,
+       count(*)::BIGINT AS stored FROM payments""",
+    ),
+    "bronze_by_day": _sql([PAYMENTS], _MESSAGES),
     "silver_clean": _sql([PAYMENTS, CLEAN], f"SELECT {_time()}, {EVENT}, {_time('ingestion_ts')} FROM clean"),
     "silver_features": _sql(TO_SILVER, f"SELECT {_time()}, {EVENT}, {_time('ingestion_ts')}, {FEATURES} FROM silver"),
     "silver_features_short": _sql(TO_SILVER, f"SELECT {_time()}, {SHORT_EVENT}, {FEATURES} FROM silver"),
@@ -322,6 +328,12 @@ ORACLE_SQL: dict[str, str] = {
     "payment_relations": _sql(
         TO_GOLD, f"SELECT {SHORT_EVENT}, {_time()}, {FEATURES}, risk_score, reasons, reasons_text, is_alert FROM gold"
     ),
+    "gold_by_hour": _sql(
+        TO_GOLD,
+        f"""SELECT payment_id, {_time()}, risk_score, reasons_text FROM alerts
+       WHERE event_time >= TIMESTAMP '2024-01-01 00:30:00' AND event_time < TIMESTAMP '2024-01-01 03:00:00'
+       AND (risk_score >= 60 OR event_time < TIMESTAMP '2024-01-01 01:00:00' OR event_time >= TIMESTAMP '2024-01-01 02:00:00')""",
+    ),
     "replaced_tables": _sql(TO_GOLD, "SELECT payment_id, risk_score, reasons_text FROM alerts WHERE risk_score >= 30"),
     "kpi_counts": _sql(
         TO_GOLD,
@@ -470,3 +482,7 @@ FROM ml""",
     ),
     "binary_metrics": "WITH " + ",".join(TO_TRAINING) + _METRICS,
 }
+
+# the stored folders hold what the tables hold
+ORACLE_SQL["graph_store_reload"] = ORACLE_SQL["graph_reload"]
+ORACLE_SQL["graph_store_reload_edges"] = ORACLE_SQL["graph_reload_edges"]

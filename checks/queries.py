@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.sources import LATE, Layers, layers, messages
+from checks.sources import EARLY, LATE, Layers, layers, messages
+from paysignal.functions.columns import in_time_range
 from paysignal.functions.text import feature_text
 from paysignal.operators.metrics import binary_metrics
 from paysignal.operators.split import stratified_split
 from paysignal.plans import analysis, dashboards, elt, gold, graph, silver, training
 from paysignal.schemas import BRONZE_SCHEMA, EVENT_COLUMNS
 from paysignal.session import configure, fresh_path, stage
-from paysignal.sinks import files, graph_files, tables
+from paysignal.sinks import files, graph_files, graph_store, tables
 from paysignal.sources.files import read_bounded
 from paysignal.sources.jdbc import jdbc_features
 from paysignal.streaming import ingest
@@ -67,6 +68,37 @@ def bronze_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select(*EVENT_COLUMNS)
 
 
+def bronze_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What timed batches of one file each report: how many batches had messages, and how many messages."""
+    table, inbox, checkpoint = _new_bronze_table(configure(spark), "bronze_progress")
+    messages(spark, sf_dir).repartition(4).write.text(inbox)
+    stream = ingest.message_stream(spark, "text", path=inbox, max_per_trigger=1)
+    query = ingest.start_ingest(ingest.bronze_rows(stream), table, checkpoint, interval_seconds=1, query_name=table)
+    query.processAllAvailable()
+    ingest.supervise(query, timeout_seconds=1)
+    sizes = ingest.batch_sizes(query)
+    stored = spark.table(table).agg(F.count(F.lit(1)).alias("stored"))
+    return stored.select(F.lit(len(sizes)).cast("long").alias("batches"), F.lit(sum(sizes.values())).cast("long").alias("messages"), "stored")
+
+
+def bronze_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches by event date, the second delivered twice, then compacted and delivered once more."""
+    root = fresh_path(configure(spark), "bronze_by_day")
+    table, inbox = f"bronze_by_day_{root[-32:]}", f"{root}/inbox"
+    parts = ("event_date", tables.BATCH_COLUMN)
+    tables.ensure_table(spark, table, ingest.by_day_schema(BRONZE_SCHEMA), f"{root}/table", partition_by=parts)
+    messages(spark, sf_dir).repartition(2).write.text(inbox)
+    stream = ingest.message_stream(spark, "text", path=inbox, max_per_trigger=1)
+    query = ingest.start_ingest_by_day(ingest.bronze_rows(stream), table, f"{root}/checkpoint", drain=True, query_name=table)
+    ingest.supervise(query)
+    last = max(ingest.batch_sizes(query), default=0)
+    again = stage(spark.table(table).filter(F.col(tables.BATCH_COLUMN) == last).drop(*parts), "again")
+    ingest.append_batch(again, last, table)
+    tables.compact_table(spark, table)
+    ingest.append_batch(again, last, table)
+    return spark.table(table).select(*EVENT_COLUMNS)
+
+
 def _new_bronze_table(spark: SparkSession, name: str) -> tuple[str, str, str]:
     root = fresh_path(spark, name)
     table = f"{name}_{root[-32:]}"
@@ -130,6 +162,16 @@ def replaced_tables(layer: Layers) -> DataFrame:
     return layer.spark.table(f"fraud_alerts_{suffix}").select("payment_id", "risk_score", "reasons_text")
 
 
+def gold_by_hour(layer: Layers) -> DataFrame:
+    """Alerts laid out by hour; one hour is then replaced by its high scores; a range of time is read from the table."""
+    name = f"alerts_by_hour_{fresh_path(layer.spark, 't')[-32:]}"
+    table = tables.replace_by_period(layer.alerts(), name, unit="hour")
+    hour = in_time_range(F.col("event_time"), "2024-01-01T01:00:00Z", "2024-01-01T02:00:00Z")
+    tables.overwrite_periods(table.filter(hour & (F.col("risk_score") >= 60)), name, unit="hour")
+    kept = files.select_export(layer.spark.table(name), start="2024-01-01T00:30:00Z", end="2024-01-01T03:00:00Z")
+    return kept.select("payment_id", "event_time", "risk_score", "reasons_text")
+
+
 # --- writes, read back ---------------------------------------------------------
 
 
@@ -273,6 +315,15 @@ def _reloaded(layer: Layers) -> graph.Graph:
     return graph.load_snapshot(layer.stored_graph, layer.snapshot("early", (None, "2024-01-01T01:00:00Z")), "early")
 
 
+def _reloaded_store(layer: Layers) -> graph.Graph:
+    """The same reload, through the stored folders and their manifests."""
+    root = fresh_path(layer.spark, "graph_store")
+    first_hour = layer.snapshot("early", (None, "2024-01-01T01:00:00Z"))
+    for name, found in (("early", layer.snapshot("early", EARLY)), ("late", layer.snapshot("late", LATE)), ("early", first_hour)):
+        graph_store.load(layer.spark, root, found, name)
+    return graph_store.read_store(layer.spark, root, first_hour)
+
+
 def graph_key_violations(layer: Layers) -> DataFrame:
     """The stored graph with a second copy of some cards."""
     stored = layer.stored_graph
@@ -334,6 +385,8 @@ QUERIES: dict[str, Query] = {
     "bronze_ingest": bronze_ingest,
     "bronze_resume": bronze_resume,
     "bronze_timed": bronze_timed,
+    "bronze_progress": bronze_progress,
+    "bronze_by_day": bronze_by_day,
     "silver_clean": silver_clean,
     "silver_features": silver_features,
     "silver_features_short": silver_features_short,
@@ -343,6 +396,7 @@ QUERIES: dict[str, Query] = {
     "graph_payments": _on(lambda l: gold.graph_payments(l.gold)),
     "payment_relations": _on(lambda l: gold.payment_relations(l.gold)),
     "replaced_tables": _on(replaced_tables),
+    "gold_by_hour": _on(gold_by_hour),
     "kpi_counts": _on(
         lambda l: dashboards.layer_counts(
             {"bronze_rows": l.bronze, "total_transactions": l.silver, "total_fraud_alerts": l.alerts()}
@@ -392,6 +446,8 @@ QUERIES: dict[str, Query] = {
     "graph_upsert_edges": _on(lambda l: _edge_rows(l.store().edges)),
     "graph_reload": _on(lambda l: _reloaded(l).nodes["payments"]),
     "graph_reload_edges": _on(lambda l: _edge_rows(_reloaded(l).edges)),
+    "graph_store_reload": _on(lambda l: _reloaded_store(l).nodes["payments"]),
+    "graph_store_reload_edges": _on(lambda l: _edge_rows(_reloaded_store(l).edges)),
     "graph_key_violations": _on(graph_key_violations),
     "graph_dangling_edges": _on(graph_dangling_edges),
     "graph_shared_devices": _on(lambda l: graph.shared_devices(l.stored_graph, "late")),

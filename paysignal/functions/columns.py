@@ -45,6 +45,29 @@ def in_time_range(column: Column, start: str | None, end: str | None) -> Column:
     return keep
 
 
+# Partition columns by which tables may be laid out: name and type per unit of time.
+PERIODS = {"day": ("event_date", "date"), "hour": ("event_hour", "timestamp")}
+
+
+def period(moment: Column, unit: str) -> Column:
+    """Begin of the day or hour of a time."""
+    return F.date_trunc(unit, moment).cast(PERIODS[unit][1])
+
+
+def in_periods(df: DataFrame, start: str | None, end: str | None) -> Column:
+    """The partitions of ``df`` that may hold rows of the range ``[start, end)``; true for tables laid out otherwise."""
+    keep = F.lit(True)
+    lower, upper = parse_bound(start), parse_bound(end)
+    for unit, (name, kind) in PERIODS.items():
+        if name not in df.columns or df.schema[name].dataType.simpleString() != kind:
+            continue
+        if lower is not None:
+            keep = keep & (F.col(name) >= period(lower, unit))
+        if upper is not None:
+            keep = keep & (F.col(name) <= period(upper, unit))
+    return keep
+
+
 def code_list(text: str | Iterable[str]) -> list[str]:
     """``"ru, ng"`` (or an iterable) as clean upper-case codes."""
     parts = text.split(",") if isinstance(text, str) else text

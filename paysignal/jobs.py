@@ -14,22 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from paysignal import schemas
 from paysignal.plans import analysis, dashboards, elt, gold, graph, silver, training
 from paysignal.session import build_session, stage
-from paysignal.sinks import files, graph_files, tables
+from paysignal.sinks import files, graph_files, graph_store, tables
 from paysignal.sources.files import read_table_or_path
 from paysignal.sources.jdbc import JdbcTable, Slices, jdbc_features, read_jdbc, slices_over, write_jdbc
 from paysignal.streaming import ingest
 
 
+MOST_HOURS_SHOWN = 10_000
+
+
 def run_ingest(spark: SparkSession, a: argparse.Namespace) -> None:
     schema = schemas.SHORT_EVENT_SCHEMA if a.short_events else schemas.EVENT_SCHEMA
     bronze = schemas.SHORT_BRONZE_SCHEMA if a.short_events else schemas.BRONZE_SCHEMA
-    tables.ensure_table(spark, a.table, bronze, a.location, a.provider)
+    if a.by_day:
+        tables.ensure_table(spark, a.table, ingest.by_day_schema(bronze), a.location, partition_by=("event_date", tables.BATCH_COLUMN))
+    else:
+        tables.ensure_table(spark, a.table, bronze, a.location, a.provider)
     stream = ingest.message_stream(
         spark, a.format, path=a.path, bootstrap_servers=a.bootstrap_servers, topic=a.topic,
         starting_offsets=a.starting_offsets, fail_on_data_loss=a.fail_on_data_loss, max_per_trigger=a.max_per_trigger,
     )
     rows = ingest.bronze_rows(stream, schema, strict=not a.keep_corrupt)
-    query = ingest.start_ingest(
+    start = ingest.start_ingest_by_day if a.by_day else ingest.start_ingest
+    query = start(
         rows, a.table, a.checkpoint, drain=a.trigger == "available-now", interval_seconds=a.interval_seconds
     )
     ingest.supervise(query, a.timeout_seconds)
@@ -44,8 +51,14 @@ def run_silver(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def run_gold(spark: SparkSession, a: argparse.Namespace) -> None:
     scored = gold.score(spark.table(a.source))
-    tables.replace_table(gold.alerts(scored, with_mcc=a.short), a.alerts)
-    tables.replace_table(gold.payment_relations(scored) if a.short else gold.graph_payments(scored), a.relations)
+    relations = gold.payment_relations(scored) if a.short else gold.graph_payments(scored)
+    for rows, target in ((gold.alerts(scored, with_mcc=a.short), a.alerts), (relations, a.relations)):
+        if a.by_day:
+            tables.replace_by_period(rows, target)
+        else:
+            tables.replace_table(rows, target)
+        if a.keep_versions:
+            tables.drop_versions(spark, target, a.keep_versions)
 
 
 def run_dashboard(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -53,7 +66,8 @@ def run_dashboard(spark: SparkSession, a: argparse.Namespace) -> None:
     dashboards.layer_counts(
         {"bronze_rows": spark.table(a.bronze), "total_transactions": spark.table(a.silver), "total_fraud_alerts": alerts}
     ).show(truncate=False)
-    dashboards.alerts_per_hour(alerts, a.hours).show(a.hours or 2**31 - 1, truncate=False)
+    # one row per hour: a year has 8784
+    dashboards.alerts_per_hour(alerts, a.hours).show(a.hours or MOST_HOURS_SHOWN, truncate=False)
     for entity in ("merchant_id", "card_id"):
         dashboards.riskiest(alerts, entity, a.top).show(a.top, truncate=False)
     dashboards.top_alerts(alerts, a.top).show(a.top, truncate=False)
@@ -115,8 +129,13 @@ def run_graph(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_load_graph(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Load snapshot files into the accumulated graph tables ``<prefix>_<label>``."""
+    """Load snapshot files into the accumulated graph tables ``<prefix>_<label>``, or into the folders of a store."""
     new = graph_files.read_graph(spark, f"{a.input.rstrip('/')}/{a.graph_name}")
+    if a.store:
+        graph_store.load(spark, a.store.rstrip("/"), new, a.graph_name)
+        if a.keep_versions:
+            graph_store.drop_old(spark, a.store.rstrip("/"), a.keep_versions)
+        return
     names = {**{label: f"{a.prefix}_{label}" for label in new.nodes}, **{edge: f"{a.prefix}_{edge}" for edge in new.edges}}
 
     def stored(name: str, like: DataFrame) -> DataFrame:
@@ -136,10 +155,13 @@ def run_load_graph(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_investigate(spark: SparkSession, a: argparse.Namespace) -> None:
-    loaded = graph.Graph(
-        {label: spark.table(f"{a.prefix}_{label}") for label in graph.NODE_KEYS},
-        {edge[0]: spark.table(f"{a.prefix}_{edge[0]}") for edge in graph.EDGE_TYPES},
-    )
+    if a.store:
+        loaded = graph_store.read_store(spark, a.store.rstrip("/"), graph_files.empty_graph(spark))
+    else:
+        loaded = graph.Graph(
+            {label: spark.table(f"{a.prefix}_{label}") for label in graph.NODE_KEYS},
+            {edge[0]: spark.table(f"{a.prefix}_{edge[0]}") for edge in graph.EDGE_TYPES},
+        )
     for query in (graph.shared_devices, graph.multi_country_cards, graph.risky_merchants, graph.device_clusters):
         files.write_result(query(loaded, a.graph_name), a.output, query.__name__)
 
@@ -179,6 +201,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--short-events", action="store_true")
     p.add_argument("--keep-corrupt", action="store_true")
     p.add_argument("--fail-on-data-loss", action="store_true")
+    p.add_argument("--by-day", action="store_true", help="Parquet partitions by event date and batch; a batch delivered twice is stored once")
     p.add_argument("--provider", default="parquet")
     p.add_argument("--location")
 
@@ -189,6 +212,8 @@ def parser() -> argparse.ArgumentParser:
 
     p = job("gold", run_gold, "source", "alerts", "relations")
     p.add_argument("--short", action="store_true")
+    p.add_argument("--by-day", action="store_true", help="lay the tables out by event date (one more column)")
+    p.add_argument("--keep-versions", type=int, default=0, help="remove all but the newest versions; 0 keeps all")
 
     p = job("dashboard", run_dashboard, "bronze", "silver", "alerts")
     p.add_argument("--top", type=int, default=20)
@@ -241,11 +266,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--start")
     p.add_argument("--end")
 
-    job("load-graph", run_load_graph, "input", "graph-name").add_argument("--prefix", default="graph")
+    p = job("load-graph", run_load_graph, "input", "graph-name")
+    p.add_argument("--prefix", default="graph")
+    p.add_argument("--store", help="folder of a graph store: writes only what changes, and switches all tables at once")
+    p.add_argument("--keep-versions", type=int, default=0, help="of a store: remove all but the newest versions; 0 keeps all")
 
     p = job("investigate", run_investigate, "output")
     p.add_argument("--graph-name")
     p.add_argument("--prefix", default="graph")
+    p.add_argument("--store", help="read the graph from the folder of a graph store")
 
     p = job("train", run_train, "input", "output")
     p.add_argument("--max-train-rows", type=int, default=0, help="rows per label given to the fit; 0 means all")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paysignal.functions.columns import in_time_range, is_timestamp
+from paysignal.functions.columns import in_periods, in_time_range, is_timestamp
 from paysignal.operators.joins import attach_to_hubs, keep_known
 from paysignal.operators.reach import members, reach_count
 from paysignal.session import stage
@@ -78,7 +78,7 @@ def staging(source: DataFrame, start: str | None = None, end: str | None = None)
     rows = source
     if is_timestamp(source, "event_time") and (start or end):
         # filter the source column itself, so that the scan can skip row groups
-        rows = source.filter(in_time_range(F.col("event_time"), start, end))
+        rows = source.filter(in_time_range(F.col("event_time"), start, end) & in_periods(source, start, end))
     typed = rows.select(*[column(n, t).alias(n) for n, t in STAGING_TYPES.items()])
     if not is_timestamp(source, "event_time") and (start or end):
         typed = typed.filter(in_time_range(F.col("event_time"), start, end))

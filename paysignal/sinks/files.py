@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paysignal.functions.columns import in_time_range, is_timestamp
+from paysignal.functions.columns import PERIODS, in_periods, in_time_range, is_timestamp
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], file_format: str = "parquet",
@@ -29,8 +29,12 @@ def _moment(df: DataFrame, time_column: str) -> Column:
 def select_export(df: DataFrame, time_column: str = "event_time", start: str | None = None,
                   end: str | None = None, limit: int = 0) -> DataFrame:
     """Whole rows of an optional half-open time range, the first ``limit`` of them if given.
-    A row whose time does not parse lies in no range."""
-    picked = df.filter(in_time_range(_moment(df, time_column), start, end)) if start or end else df
+    A row whose time does not parse lies in no range. Of a table laid out by day or hour only the partitions of the range
+    are read; the partition column is no part of the export."""
+    picked = df
+    if start or end:
+        picked = df.filter(in_time_range(_moment(df, time_column), start, end) & in_periods(df, start, end))
+    picked = picked.drop(*(n for n, _ in PERIODS.values() if n != time_column))
     if limit > 0:
         ties = [c for c in ("payment_id",) if c in df.columns and c != time_column]
         picked = picked.orderBy(_moment(df, time_column), *ties).limit(limit)

@@ -27,6 +27,18 @@ NODE_COLUMNS = {
 _CSV = {"header": True, "escape": '"', "multiLine": True}
 
 
+_NODE_TYPES = {"amount": "double", "risk_score": "int", "is_alert": "boolean"}
+
+
+def empty_graph(spark: SparkSession) -> Graph:
+    """No rows, with the columns that ``read_graph`` gives."""
+    nodes = {
+        label: spark.createDataFrame([], ", ".join(f"{c} {_NODE_TYPES.get(c, 'string')}" for c in columns))
+        for label, columns in NODE_COLUMNS.items()
+    }
+    return Graph(nodes, {name: spark.createDataFrame([], f"{s} string, {t} string") for name, _, s, _, t in EDGE_TYPES})
+
+
 def write_graph(graph: Graph, root: str, mode: str = "overwrite") -> None:
     """Values may hold line breaks. Booleans are written as ``True`` / ``False``."""
     for label, columns in NODE_COLUMNS.items():

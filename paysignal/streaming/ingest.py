@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
+from paysignal.functions.columns import period
 from paysignal.schemas import EVENT_SCHEMA
+from paysignal.sinks.tables import BATCH_COLUMN, table_location
 
 
 def message_stream(
@@ -80,6 +82,49 @@ def start_ingest(
     return writer.toTable(table)
 
 
+def by_day_schema(schema: StructType) -> StructType:
+    """``schema`` with the partition columns of a table that ``start_ingest_by_day`` fills."""
+    return StructType([*schema.fields, StructField("event_date", DateType()), StructField(BATCH_COLUMN, LongType())])
+
+
+def append_batch(batch: DataFrame, batch_id: int, table: str) -> None:
+    """Store a micro-batch as the partitions (event date, batch) of ``table``. A batch that is delivered again replaces
+    itself. Rows whose time does not parse have no date."""
+    spark = batch.sparkSession
+    dated = batch.withColumn("event_date", period(F.try_to_timestamp("event_time"), "day")).withColumn(
+        BATCH_COLUMN, F.lit(batch_id).cast("long"))
+    parts = ("event_date", BATCH_COLUMN)
+    writer = dated.select(*spark.table(table).columns).hint("rebalance", *parts).write.partitionBy(*parts)
+    # the place is asked for every batch: compaction moves the table to a new one
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table_location(spark, table))
+    spark.catalog.refreshTable(table)
+
+
+def start_ingest_by_day(
+    rows: DataFrame,
+    table: str,
+    checkpoint: str,
+    *,
+    drain: bool = False,
+    interval_seconds: int = 5,
+    query_name: str = "bronze_payments_by_day",
+) -> StreamingQuery:
+    """As ``start_ingest``, into a table made by ``ensure_table`` with ``by_day_schema``, which may be compacted."""
+    writer = (
+        rows.writeStream.outputMode("append")
+        .queryName(query_name)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, table))
+    )
+    writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=f"{interval_seconds} seconds")
+    return writer.start()
+
+
+def batch_sizes(query: StreamingQuery) -> dict[int, int]:
+    """Messages per batch that had any, as the running or stopped query reports them (the last 100 or so batches)."""
+    return {p.batchId: p.numInputRows for p in query.recentProgress if p.numInputRows > 0}
+
+
 def supervise(query: StreamingQuery, timeout_seconds: int = 0) -> None:
     """Wait for the query to end, or stop it cleanly after ``timeout_seconds``.
     A failed query raises."""
