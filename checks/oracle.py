@@ -390,6 +390,11 @@ SELECT unnest(['high_risk_transactions', 'suspicious_cards', 'geo_fraud_patterns
         f"""SELECT {ALERT}, {_time()}, strftime(event_time, '%Y') AS year, strftime(event_time, '%m') AS month,
        strftime(event_time, '%d') AS day FROM alerts WHERE event_time >= TIMESTAMP '2024-01-01 00:30:00'""",
     ),
+    "gold_export_first": _sql(
+        TO_GOLD,
+        f"""SELECT f.payment_id, {_time('f.event_time')}, f.risk_score FROM (
+         SELECT * FROM alerts WHERE event_time >= TIMESTAMP '2024-01-01 01:10:00' ORDER BY event_time, payment_id LIMIT 700) f""",
+    ),
     "gold_export_all": _sql(
         TO_GOLD,
         f"""SELECT {ALERT}, {_time()}, strftime(event_time, '%Y') AS year, strftime(event_time, '%m') AS month,

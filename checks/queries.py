@@ -242,6 +242,13 @@ def gold_export(layer: Layers) -> DataFrame:
     ).json(path)
 
 
+def gold_export_first(layer: Layers) -> DataFrame:
+    """The first 700 alerts from a time on, exported as Parquet."""
+    path = fresh_path(layer.spark, "gold_export_first")
+    files.export_by_day(files.select_export(layer.alerts(), start="2024-01-01T01:10:00Z", limit=700), path, file_format="parquet")
+    return layer.spark.read.parquet(path).select("payment_id", "event_time", "risk_score")
+
+
 def gold_export_all(layer: Layers) -> DataFrame:
     """All alerts exported as Parquet, whatever their time."""
     path = fresh_path(layer.spark, "gold_export_all")
@@ -430,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "analysis_summary": _on(analysis_summary),
     "gold_export": _on(gold_export),
     "gold_export_all": _on(gold_export_all),
+    "gold_export_first": _on(gold_export_first),
     "compaction": _on(compaction),
     "compaction_files": _on(compaction_files),
     "graph_staging": _on(lambda l: graph.staging(l.gold, "2024-01-01T01:00:00Z", "2024-01-01T04:00:00Z")),

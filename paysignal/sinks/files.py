@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysignal.functions.columns import PERIODS, in_periods, in_time_range, is_timestamp
@@ -26,6 +26,34 @@ def _moment(df: DataFrame, time_column: str) -> Column:
     return F.try_to_timestamp(F.regexp_replace(F.col(time_column).cast("string"), " UTC$", ""))
 
 
+def _cut(buckets: DataFrame, wanted: int) -> tuple[int | None, int] | None:
+    """The bucket in which row number ``wanted`` lies, and the rows before it; None if there are fewer rows. ``buckets``
+    has a row per bucket, null first."""
+    so_far = F.sum("n").over(Window.orderBy(F.asc_nulls_first("bucket")).rowsBetween(Window.unboundedPreceding, 0))
+    found = buckets.withColumn("upto", so_far).filter(F.col("upto") >= wanted).orderBy("upto").first()
+    return (found["bucket"], found["upto"] - found["n"]) if found else None
+
+
+def first_rows(df: DataFrame, moment: Column, ties: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows by time and ``ties``, rows without a time before all others.
+
+    Counts per hour and then per second of one hour find the second that holds the last of them. Earlier rows are
+    taken as they are, by as many tasks as read them; only the rows of that second are ranked.
+    """
+    counted = F.count(F.lit(1)).alias("n")
+    hour, second = (F.unix_seconds(F.date_trunc(unit, moment).cast("timestamp")) for unit in ("hour", "second"))
+    cut = _cut(df.groupBy(hour.alias("bucket")).agg(counted), n)
+    if cut is None:
+        return df
+    at, before = cut
+    if at is None:  # rows without a time are enough
+        return df.filter(moment.isNull()).orderBy(*ties).limit(n)
+    last, own = _cut(df.filter(hour == F.lit(at)).groupBy(second.alias("bucket")).agg(counted), n - before)
+    earlier = df.filter(moment.isNull() | (second < F.lit(last)))
+    ranked = df.filter(second == F.lit(last)).orderBy(moment, *ties).limit(n - before - own)
+    return earlier.unionByName(ranked)
+
+
 def select_export(df: DataFrame, time_column: str = "event_time", start: str | None = None,
                   end: str | None = None, limit: int = 0) -> DataFrame:
     """Whole rows of an optional half-open time range, the first ``limit`` of them if given.
@@ -37,7 +65,7 @@ def select_export(df: DataFrame, time_column: str = "event_time", start: str | N
     picked = picked.drop(*(n for n, _ in PERIODS.values() if n != time_column))
     if limit > 0:
         ties = [c for c in ("payment_id",) if c in df.columns and c != time_column]
-        picked = picked.orderBy(_moment(df, time_column), *ties).limit(limit)
+        picked = first_rows(picked, _moment(df, time_column), ties, limit)
     return picked
 
 

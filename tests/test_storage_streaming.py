@@ -152,6 +152,18 @@ def test_export_selection(spark):
     assert files.select_export(df).count() == 5
 
 
+@pytest.mark.parametrize("per_second", [1, 400])
+def test_first_rows_are_ranked_in_one_second_only(spark, per_second):
+    rows = [(f"p{(i * 37) % 1000:03}", at(i // per_second)) for i in range(1000)] + [("n1", None), ("n0", None)]
+    df = spark.createDataFrame(rows, "payment_id string, event_time timestamp").repartition(5)
+    expected = sorted(rows, key=lambda r: (r[1] is not None, str(r[1]), r[0]))
+    for n in (1, 2, 3, 399, 402, 403, 800, 1001, 1002, 5000):
+        found = files.select_export(df, limit=n)
+        assert sorted(r.payment_id for r in found.collect()) == sorted(p for p, _ in expected[:n])
+    plan = files.select_export(df, limit=500)._jdf.queryExecution().toString()
+    assert "Union" in plan and "date_trunc(second" in plan.lower()
+
+
 def test_partitioned_write_and_bounded_read(spark, tmp_path):
     path = str(tmp_path / "c")
     df = spark.createDataFrame([(f"p{i}", at(i * 40000)) for i in range(6)], "payment_id string, event_time timestamp")
