@@ -301,6 +301,12 @@ UNION ALL SELECT DISTINCT 'devices', device_id FROM gold
 UNION ALL SELECT DISTINCT 'merchants', merchant_id FROM gold
 UNION ALL SELECT DISTINCT 'payments', payment_id FROM gold"""
 
+_SPLIT = """
+SELECT payment_id, label,
+  CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5('42' || payment_id), payment_id)
+            <= round(0.2 * count(*) OVER (PARTITION BY label)) THEN 'eval' ELSE 'train' END AS split
+FROM ml"""
+
 ORACLE_SQL: dict[str, str] = {
     "bronze_parse": _sql([PAYMENTS], _MESSAGES),
     "bronze_ingest": _sql([PAYMENTS], _MESSAGES),
@@ -359,6 +365,11 @@ ORACLE_SQL: dict[str, str] = {
     "canonical": _sql(TO_ELT, f"SELECT {CANONICAL}, {_time()}, source FROM canon"),
     "consolidated": _sql(TO_ELT, f"SELECT {DATED}, source_s3, source_rds FROM consolidated"),
     "consolidated_io": _sql(TO_ELT, f"SELECT {DATED}, source_s3, source_rds FROM consolidated"),
+    "bounded_read": _sql(
+        TO_ELT,
+        f"""SELECT f.payment_id, {_time('f.event_time')}, f.risk_score FROM (
+         SELECT * FROM consolidated ORDER BY event_time, payment_id LIMIT 400) f""",
+    ),
     "stage_counts": _sql(
         TO_ELT,
         """
@@ -477,14 +488,12 @@ AND NOT (edge IN ('used_on', 'authorized') AND ends_with(source, '7'))""",
     "training_set": _sql(TO_TRAINING, "SELECT text, label FROM ml_text"),
     "training_text": _sql(TO_GOLD, _GOLD_TEXT),
     "label_distribution": _sql(TO_TRAINING, "SELECT label, count(*) AS total FROM ml GROUP BY label"),
-    "train_eval_split": _sql(
+    "train_eval_split": _sql(TO_TRAINING, _SPLIT),
+    "classifier_split_sizes": _sql(
         TO_TRAINING,
-        """
-SELECT payment_id, label,
-  CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5('42' || payment_id), payment_id)
-            <= round(0.2 * count(*) OVER (PARTITION BY label)) THEN 'eval' ELSE 'train' END AS split
-FROM ml""",
+        f"SELECT split, count(*) AS total, count(*) FILTER (WHERE label = 1) AS positives FROM ({_SPLIT}) GROUP BY split",
     ),
+    "classifier_eval_rows": _sql(TO_TRAINING, f"SELECT payment_id, label FROM ({_SPLIT}) WHERE split = 'eval'"),
     "binary_metrics": "WITH " + ",".join(TO_TRAINING) + _METRICS,
 }
 

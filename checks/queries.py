@@ -178,7 +178,14 @@ def gold_by_hour(layer: Layers) -> DataFrame:
 def consolidated_io(layer: Layers) -> DataFrame:
     path = fresh_path(layer.spark, "consolidated_io")
     files.write_consolidated(layer.consolidated, path)
-    return read_bounded(layer.spark, path)
+    return layer.spark.read.parquet(path)
+
+
+def bounded_read(layer: Layers) -> DataFrame:
+    """The first 400 rows, by time and payment, of a folder laid out by day."""
+    path = fresh_path(layer.spark, "bounded_read")
+    files.write_consolidated(layer.consolidated, path)
+    return read_bounded(layer.spark, path, max_rows=400).select("payment_id", "event_time", "risk_score")
 
 
 def _analysis_rows(transactions: DataFrame, cards: DataFrame, places: DataFrame) -> DataFrame:
@@ -387,6 +394,18 @@ def train_eval_split(layer: Layers) -> DataFrame:
     return stratified_split(stage(rows, "labels"), "label", "payment_id")
 
 
+def classifier_split_sizes(layer: Layers) -> DataFrame:
+    """What the classifier learns from and is measured on: rows and positives of both sides."""
+    rows = stage(training.labelled(layer.consolidated), "labelled")
+    return training.split_sizes(stratified_split(rows, "label", "payment_id"))
+
+
+def classifier_eval_rows(layer: Layers) -> DataFrame:
+    """The evaluation rows that a trained model has scored."""
+    _, scored, _ = training.train_classifier(stage(training.labelled(layer.consolidated), "labelled"))
+    return scored.filter(F.col("score").between(0, 1)).select("payment_id", "label")
+
+
 QUERIES: dict[str, Query] = {
     "bronze_parse": bronze_parse,
     "bronze_ingest": bronze_ingest,
@@ -424,6 +443,7 @@ QUERIES: dict[str, Query] = {
     ),
     "consolidated": _on(lambda l: elt.consolidate(l.store_side(), l.database_side())),
     "consolidated_io": _on(consolidated_io),
+    "bounded_read": _on(bounded_read),
     "stage_counts": _on(lambda l: elt.stage_counts(l.merged)),
     "risk_high_tx": _on(lambda l: analysis.high_risk_tx(analysis.typed(l.consolidated))),
     "risk_high_tx_sql": _on(lambda l: analysis.high_risk_tx_sql(analysis.typed(l.consolidated))),
@@ -472,4 +492,6 @@ QUERIES: dict[str, Query] = {
     "train_eval_split": _on(train_eval_split),
     "binary_metrics": _on(binary_metrics_row),
     "classifier_metrics": _on(classifier_metrics),
+    "classifier_split_sizes": _on(classifier_split_sizes),
+    "classifier_eval_rows": _on(classifier_eval_rows),
 }

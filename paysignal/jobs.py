@@ -12,10 +12,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from paysignal import schemas
+from paysignal.operators.split import stratified_split
 from paysignal.plans import analysis, dashboards, elt, gold, graph, silver, training
 from paysignal.session import build_session, stage
 from paysignal.sinks import files, graph_files, graph_store, tables
-from paysignal.sources.files import read_table_or_path
+from paysignal.sources.files import read_bounded, read_table_or_path
 from paysignal.sources.jdbc import JdbcTable, Slices, jdbc_features, read_jdbc, slices_over, write_jdbc
 from paysignal.streaming import ingest
 
@@ -115,6 +116,10 @@ def run_analyse(spark: SparkSession, a: argparse.Namespace) -> None:
     analysis.write_analyses(spark, base, a.output, a.format, a.mode, limits).show(truncate=False)
 
 
+def run_inspect(spark: SparkSession, a: argparse.Namespace) -> None:
+    read_bounded(spark, a.path, a.max_files, a.max_rows).show(a.max_rows, truncate=False)
+
+
 def run_compact(spark: SparkSession, a: argparse.Namespace) -> None:
     tables.compact_table(spark, a.table, a.file_mb * 1024 * 1024)
 
@@ -169,10 +174,13 @@ def run_investigate(spark: SparkSession, a: argparse.Namespace) -> None:
 def run_train(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = stage(training.labelled(read_table_or_path(spark, a.input), a.high_risk_threshold), "labelled")
     model, _, metrics = training.train_classifier(
-        rows, not a.without_label_inputs, a.test_size, a.random_state, max_train_rows=a.max_train_rows
+        rows, not a.without_label_inputs, a.test_size, a.random_state, a.hash_size, max_train_rows=a.max_train_rows,
+        most_categories=a.most_categories,
     )
     files.write_result(rows.select("text", "label"), a.output, "training_set")
     files.write_result(training.label_distribution(rows), a.output, "class_distribution")
+    parts = stratified_split(rows, "label", "payment_id", a.test_size, a.random_state)
+    files.write_result(training.split_sizes(parts), a.output, "split_sizes")
     files.write_result(spark.createDataFrame(list(metrics.items()), "metric string, value double"), a.output, "metrics")
     model.write().overwrite().save(f"{a.output.rstrip('/')}/model")
 
@@ -259,6 +267,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--geo-countries1h-threshold", type=int, help="as --countries-threshold unless given")
     p.add_argument("--suspicious-countries", default=limits.countries)
 
+    p = job("inspect", run_inspect, "path")
+    p.add_argument("--max-files", type=int, default=1, help="the first files by name; 0 reads all")
+    p.add_argument("--max-rows", type=int, default=20, help="the first rows by time and payment")
+
     p = job("compact", run_compact, "table")
     p.add_argument("--file-mb", type=int, default=64)
 
@@ -278,6 +290,8 @@ def parser() -> argparse.ArgumentParser:
 
     p = job("train", run_train, "input", "output")
     p.add_argument("--max-train-rows", type=int, default=0, help="rows per label given to the fit; 0 means all")
+    p.add_argument("--hash-size", type=int, default=4096, help="columns that cards are hashed into")
+    p.add_argument("--most-categories", type=int, default=256, help="countries and statuses with a column of their own")
     p.add_argument("--test-size", type=float, default=0.2)
     p.add_argument("--random-state", type=int, default=42)
     p.add_argument("--high-risk-threshold", type=float, default=analysis.HIGH_RISK)

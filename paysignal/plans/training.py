@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import FeatureHasher, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,31 +83,55 @@ def require_two_classes(rows: DataFrame) -> None:
         raise ValueError("the training set has a single class")
 
 
+def categories(rows: DataFrame, column: str, most: int) -> list[str]:
+    """The ``most`` commonest values of a column, ties in text order."""
+    counted = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column)
+    return [r[0] for r in counted.limit(most).collect()]  # at most ``most`` values
+
+
+def feature_stages(train: DataFrame, with_label_inputs: bool, hash_size: int, most_categories: int) -> list:
+    """Inputs of the classifier: numbers as they are, country and status one column per
+    value, the card hashed into columns of its own.
+
+    Values beyond the ``most_categories`` commonest of the train rows share the column
+    of unknown values, so an open set of spellings does not reach the driver. Cards have
+    no bound, so they get no index.
+    """
+    names = ["country"] + (["status"] if with_label_inputs else [])
+    numbers = [n for n in NUMBERS if with_label_inputs or n != "risk_score"]
+    stages = []
+    for name in names:
+        values = categories(train, name, most_categories) or [""]
+        stages.append(StringIndexerModel.from_labels(values, inputCol=name, outputCol=f"{name}_index", handleInvalid="keep"))
+    encoded = [f"{name}_vector" for name in names]
+    stages.append(OneHotEncoder(inputCols=[f"{name}_index" for name in names], outputCols=encoded, dropLast=False))
+    stages.append(FeatureHasher(inputCols=["card_id"], outputCol="card_vector", numFeatures=hash_size))
+    stages.append(VectorAssembler(inputCols=[*numbers, *encoded, "card_vector"], outputCol="features"))
+    return stages
+
+
+def split_sizes(parts: DataFrame) -> DataFrame:
+    """Rows and positives of each side of a split."""
+    return parts.groupBy("split").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("label") == 1).alias("positives"))
+
+
 def train_classifier(rows: DataFrame, with_label_inputs: bool = True, test_fraction: float = 0.2, seed: int = 42,
-                     hash_size: int = 4096, iterations: int = 20, max_train_rows: int = 0):
+                     hash_size: int = 4096, iterations: int = 20, max_train_rows: int = 0, most_categories: int = 256):
     """Logistic regression on the eight inputs; returns model, evaluation rows and metrics.
 
     ``risk_score`` and ``status`` also define the default label;
-    ``with_label_inputs=False`` leaves them out. Text inputs are hashed, so no
-    vocabulary is collected however many cards there are. ``max_train_rows`` bounds
+    ``with_label_inputs=False`` leaves them out. ``hash_size`` is the number of
+    columns that cards are hashed into. ``max_train_rows`` bounds
     the train rows of each label that the fit sees, in a stable hash order; the
     evaluation uses all of its rows.
     """
     require_two_classes(rows)
     parts = stratified_split(rows, "label", "payment_id", test_fraction, seed)
-    texts = ["country", "card_id"] + (["status"] if with_label_inputs else [])
-    numbers = [n for n in NUMBERS if with_label_inputs or n != "risk_score"]
-    pipeline = Pipeline(
-        stages=[
-            FeatureHasher(inputCols=texts, outputCol="hashed", numFeatures=hash_size),
-            VectorAssembler(inputCols=[*numbers, "hashed"], outputCol="features"),
-            LogisticRegression(labelCol="label", maxIter=iterations, regParam=0.01),
-        ]
-    )
     train = parts.filter("split = 'train'")
+    features = feature_stages(train, with_label_inputs, hash_size, most_categories)
     if max_train_rows > 0:
         order = Window.partitionBy("label").orderBy(F.xxhash64("payment_id", F.lit(seed)), "payment_id")
         train = train.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= max_train_rows).drop("_rank")
-    model = pipeline.fit(train)
+    model = Pipeline(stages=[*features, LogisticRegression(labelCol="label", maxIter=iterations, regParam=0.01)]).fit(train)
     scored = model.transform(parts.filter("split = 'eval'")).withColumn("score", vector_to_array("probability")[1])
     return model, scored, binary_metrics(scored, "label", "prediction", "score")

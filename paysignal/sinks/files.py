@@ -19,7 +19,7 @@ def write_consolidated(df: DataFrame, path: str, mode: str = "overwrite") -> Non
     write_partitioned(df, path, ["event_date"], "parquet", mode)
 
 
-def _moment(df: DataFrame, time_column: str) -> Column:
+def time_of(df: DataFrame, time_column: str) -> Column:
     """The time of a row; text that is no time becomes null."""
     if is_timestamp(df, time_column):
         return F.col(time_column)
@@ -61,11 +61,11 @@ def select_export(df: DataFrame, time_column: str = "event_time", start: str | N
     are read; the partition column is no part of the export."""
     picked = df
     if start or end:
-        picked = df.filter(in_time_range(_moment(df, time_column), start, end) & in_periods(df, start, end))
+        picked = df.filter(in_time_range(time_of(df, time_column), start, end) & in_periods(df, start, end))
     picked = picked.drop(*(n for n, _ in PERIODS.values() if n != time_column))
     if limit > 0:
         ties = [c for c in ("payment_id",) if c in df.columns and c != time_column]
-        picked = first_rows(picked, _moment(df, time_column), ties, limit)
+        picked = first_rows(picked, time_of(df, time_column), ties, limit)
     return picked
 
 
@@ -74,7 +74,7 @@ def export_by_day(df: DataFrame, path: str, time_column: str = "event_time", fil
     """Write under ``year=/month=/day=``; rows whose time does not parse are left out."""
     if file_format not in ("json", "parquet"):
         raise ValueError(f"unsupported export format: {file_format}")
-    moment = _moment(df, time_column)
+    moment = time_of(df, time_column)
     parts = {"year": "yyyy", "month": "MM", "day": "dd"}
     dated = df.withColumns({n: F.date_format(moment, p) for n, p in parts.items()}).dropna(subset=list(parts))
     write_partitioned(dated, path, list(parts), file_format, mode)

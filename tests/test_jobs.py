@@ -68,6 +68,9 @@ def test_analyse_and_train(spark, sf_dir, tmp_path):
     assert summary.count() == 3
     jobs.main(["train", "--input", source, "--output", str(tmp_path / "model"), "--max-train-rows", "200"])
     assert spark.read.parquet(str(tmp_path / "model" / "training_set")).count() == training.labelled(spark.read.parquet(source)).count() > 600
+    sides = {r.split: r.total for r in spark.read.parquet(str(tmp_path / "model" / "split_sizes")).collect()}
+    assert sum(sides.values()) == spark.read.parquet(str(tmp_path / "model" / "training_set")).count() and set(sides) == {"train", "eval"}
+    jobs.main(["inspect", "--path", source, "--max-rows", "3"])
     assert {r.metric for r in spark.read.parquet(str(tmp_path / "model" / "metrics")).collect()} >= {"accuracy", "f1"}
 
 

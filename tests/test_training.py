@@ -69,6 +69,33 @@ def test_split_of_tiny_and_unknown_classes(spark):
         stratified_split(spark.createDataFrame([("a", 5)], "key string, label int"), "label", "key").collect()
 
 
+def test_split_is_a_comparison_per_row(spark):
+    rows = [(f"k{i}", i % 2) for i in range(500)] + [(None, 0), ("k0", 0), ("k0", 0)]
+    df = spark.createDataFrame(rows, "key string, label int")
+    found = stratified_split(df, "label", "key")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Sort" not in plan
+    # null keys are kept, rows of equal key stay together
+    assert found.count() == len(rows)
+    assert found.filter("key = 'k0'").select("split").distinct().count() == 1
+
+
+def test_inputs_are_bounded_and_apart(spark):
+    rows = [(c, s, f"card{i}", 1.0, 1.0, 0.0, 0.0, 0.0, i % 2) for i, (c, s) in enumerate(
+        [("ES", "approved")] * 4 + [("FR", "declined")] * 3 + [("PT", "approved")] * 2 + [("XX", "")])]
+    df = spark.createDataFrame(rows, "country string, status string, card_id string, amount double, risk_score double, "
+                                     "tx_5m double, merchants_10m double, countries_1h double, label int")
+    assert training.categories(df, "country", 2) == ["ES", "FR"]
+    from pyspark.ml import Pipeline
+
+    stages = training.feature_stages(df, True, hash_size=16, most_categories=2)
+    found = Pipeline(stages=stages).fit(df).transform(df).collect()
+    # five numbers; country and status with two values and one column for others each; sixteen hashed columns of cards
+    assert {r.features.size for r in found} == {5 + 3 + 3 + 16}
+    columns = {r.country: r.features.toArray()[5:8].tolist() for r in found}
+    assert columns == {"ES": [1, 0, 0], "FR": [0, 1, 0], "PT": [0, 0, 1], "XX": [0, 0, 1]}
+
+
 def scored(spark, rows):
     return spark.createDataFrame(rows, "label int, guess int, score double")
 
