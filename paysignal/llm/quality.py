@@ -2,9 +2,9 @@
 
 Every text gets counts; documents that fail the fixed base rules are out. Of the
 others, shares (symbols, punctuation, capitals, repeated lines, words repeated at once, word length) go
-into quantile sketches per language and source. Sketches merge: groups with few
-documents use the merged sketch of their language, few-document languages the one
-of all. A share is accepted up to the group's median plus ``SPREADS`` times the
+into quantile sketches per language and source. Sketches merge: bounds of a group of n
+documents weigh n against ``PRIOR`` documents that follow its language, and those of a
+language likewise against all documents, so no verdict jumps at a group size. A share is accepted up to the group's median plus ``SPREADS`` times the
 distance from its 5 % quantile to the median, plus a slack; that distance does not see the
 upper tail, so it does not grow with the junk in it. The thresholds are joined to the documents
 (a small table; where it is not, a hot group's rows are split by adaptive execution).
@@ -27,7 +27,7 @@ from paysignal.session import stage
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 WINDOW = 8
-LEAST_GROUP = 200
+PRIOR = 200.0
 SPREADS = 12.0
 SKETCH_SIZE = 400
 # The accepted distance that any group gets on top, per share.
@@ -101,8 +101,8 @@ def shares(counts: str = "_counts") -> dict[str, Column]:
     }
 
 
-def thresholds(counted: DataFrame, language: str, source: str, least_group: int = LEAST_GROUP) -> DataFrame:
-    """One row per language and source: bounds of each share, from the sketch of the group or of a larger one."""
+def thresholds(counted: DataFrame, language: str, source: str, prior: float = PRIOR) -> DataFrame:
+    """One row per language and source: bounds of each share, from the sketches of the group, its language and all."""
     passing = counted.filter(~base_failed()).select(
         F.col(language).alias("_lang"), F.col(source).alias("_source"), *(v.alias(k) for k, v in shares().items()))
     names = list(SLACK)
@@ -125,20 +125,26 @@ def thresholds(counted: DataFrame, language: str, source: str, least_group: int
         nothing = F.struct(*(F.lit(None).cast("double").alias(k) for k in [*(f"most_{k}" for k in names), "least_word_length"]))
         return own.select("_lang", "_source", nothing.alias("_bounds"))
     everything = own.agg(merged).first()  # one row of numbers
-    overall = F.struct(*(F.lit(v).alias(k) for k, v in everything["_wide"].asDict().items()))
+    overall = everything["_wide"].asDict()
     groups = own.select("_lang", "_source", "n", bounds({k: F.col(k) for k in names}).alias("_own"))
     joined = groups.join(of_language, F.col("_lang").eqNullSafe(F.col("_of")))
-    chosen = F.when(F.col("n") >= least_group, F.col("_own")).when(F.col("n_l") >= least_group, F.col("_wide")).otherwise(overall)
+
+    def pooled(n: str, own_bound: Column, wider: Column) -> Column:
+        weight = F.col(n) / (F.col(n) + F.lit(float(prior)))
+        return weight * own_bound + (1 - weight) * wider
+
+    chosen = F.struct(*(
+        pooled("n", F.col(f"_own.{k}"), pooled("n_l", F.col(f"_wide.{k}"), F.lit(v))).alias(k) for k, v in overall.items()))
     return joined.select("_lang", "_source", chosen.alias("_bounds"))
 
 
 def judge(
     docs: DataFrame, text_column: str = "text", language: str = "lang", source: str = "source",
-    least_group: int = LEAST_GROUP,
+    prior: float = PRIOR,
 ) -> DataFrame:
     """``docs`` with the struct ``_quality``: the counts, base_failed, the shares' verdict and kept."""
     counted = stage(count(docs, text_column), "counted")
-    limits = stage(thresholds(counted, language, source, least_group), "thresholds")
+    limits = stage(thresholds(counted, language, source, prior), "thresholds")
     judged = counted.join(
         limits, F.col(language).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source")), "left")
     found = shares()

@@ -314,7 +314,7 @@ def test_quality_counts_and_thresholds(spark, docs, empty):
     junk = [(3000 + i, " ".join(f"{w}###" for w in words(60, 500 + i)), "en", "s0", 1) for i in range(20)]
     loud = [(4000 + i, " ".join(words(60, 700 + i)).upper(), "en", "rare", 1) for i in range(3)]
     every = docs.drop("score").unionByName(spark.createDataFrame(clean + junk + loud, SCHEMA)).withColumn("kept", F.lit(1))
-    found = quality.judge(every, least_group=10)
+    found = quality.judge(every, prior=10)
     assert found.columns == [*every.columns, "_quality"]
     rows = found.collect()
     for r in rows:
@@ -325,5 +325,15 @@ def test_quality_counts_and_thresholds(spark, docs, empty):
     assert {r[0] for r in clean} <= kept
     assert not {r[0] for r in junk + loud} & kept  # the rare source takes the bounds of its language
     assert quality.judge(empty).count() == 0
+
+    def bound(rare):
+        counted = quality.count(clean_rows.unionByName(rare))
+        return quality.thresholds(counted, "lang", "source").filter("_source = 'rare'").first()["_bounds"]["most_symbols"]
+
+    # a group's bounds move with its size without a jump
+    clean_rows = spark.createDataFrame(clean, SCHEMA)
+    rare = [(5000 + i, " ".join(f"{w}###" for w in words(60, 700 + i)), "en", "rare", 1) for i in range(201)]
+    few, fewer, more = (bound(spark.createDataFrame(rare[:n], SCHEMA)) for n in (2, 199, 201))
+    assert few < fewer and abs(more - fewer) < 0.02
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
