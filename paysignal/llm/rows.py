@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paysignal.llm.grouped import spread_join
 from paysignal.session import stage
 
 KEYS = ["_k1", "_k2"]
@@ -57,7 +58,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     larger neighbours its smallest neighbour, then its smaller neighbours the
     smallest of all. Each keeps components and shortens paths, so a logarithmic
     number of rounds is enough; a round ends in a written table. A node of any
-    degree costs one aggregate row per task before the shuffle.
+    degree costs one aggregate row per task before the shuffle, and the links of a
+    hub may be read by several tasks.
     """
 
     spark: SparkSession = links.sparkSession
@@ -65,17 +67,16 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     def larger(edges: DataFrame) -> DataFrame:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            F.col("u").alias("w"), F.least("m", "u").alias("m"))
-        joined = both.join(least, F.col("u") == F.col("w")).filter("v > u")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        joined = spread_join(both.filter("v > u"), least, "u")
         return joined.select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
     def smaller(edges: DataFrame) -> DataFrame:
         down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
-        joined = down.join(least, F.col("u") == F.col("w"))
+        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        joined = spread_join(down, least, "u")
         moved = joined.filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        return moved.unionByName(least.select(F.col("w").alias("a"), F.col("m").alias("b"))).distinct()
+        return moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
     def state(edges: DataFrame) -> tuple:
         return tuple(edges.agg(
