@@ -80,6 +80,7 @@ def read_page(source: str | None) -> Page:
     stack = [page.add(-1, "body")]
     if not source:
         return page
+    places: dict[str, list[int]] = {}  # depths of the open elements of each name, so that no tag walks the stack
     pieces: list[str] = []
     link_depth = links = 0
     in_head = False
@@ -93,15 +94,18 @@ def read_page(source: str | None) -> Page:
                 page.add(stack[-1], "", (), text, min(links, len(text)))
         links = 0
 
+    def deepest(names: tuple[str, ...]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    def pop_from(depth: int) -> None:
+        while len(stack) > depth:
+            places[page.tag[stack.pop()]].pop()
+
     def pop_to(names: tuple[str, ...], stops: tuple[str, ...]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = page.tag[stack[k]]
-            if tag in names:
-                flush()
-                del stack[k:]
-                return
-            if tag in stops:
-                return
+        depth = deepest(names)
+        if depth > deepest(stops):
+            flush()
+            pop_from(depth)
 
     at, end = 0, len(source)
     while at < end:
@@ -152,10 +156,9 @@ def read_page(source: str | None) -> Page:
         if name not in BLOCKS:
             continue
         if closing:
-            if any(page.tag[k] == name for k in stack[1:]):
+            if places.get(name):
                 flush()
-                while page.tag[stack.pop()] != name:
-                    pass
+                pop_from(places[name][-1])
                 link_depth = 0
             else:
                 flush()
@@ -164,7 +167,7 @@ def read_page(source: str | None) -> Page:
         if name not in INSIDE_P:
             pop_to(("p",), ("td", "th", "button"))
         if name[0] == "h" and name[1:].isdigit() and page.tag[stack[-1]][:1] == "h" and page.tag[stack[-1]][1:].isdigit():
-            stack.pop()
+            pop_from(len(stack) - 1)
         if name in CLOSES:
             names, stops = CLOSES[name]
             for _ in names:
@@ -172,6 +175,7 @@ def read_page(source: str | None) -> Page:
         if name in VOID:
             continue
         tokens, keep = _attributes(raw)
+        places.setdefault(name, []).append(len(stack))
         stack.append(page.add(stack[-1], name, tokens, keep=keep))
         link_depth = 0
     flush()
