@@ -1,21 +1,22 @@
 """Toxicity scores from subword-bag embeddings and a linear softmax, trained jointly.
 
 A word is the bag of its character n-grams (``ORDERS``, with word edges) hashed to
-``BUCKETS`` embeddings; a stretch of ``STRETCH`` words is the mean of its words, and a
-linear softmax over that mean gives the chance of being toxic. Misspelt and inflected
-words share n-grams with the words that taught them. A text has the score of its worst
-stretch, so a few words count in a long text as much as in a short one. In
-training, after a first pass over whole texts, every text is represented by the stretch
-that is worst under the model so far, clean texts by a drawn one too; gradients
-flow into the embeddings and the softmax alike. The score of the worst stretch is
-calibrated on the same sample by a logistic curve.
+``BUCKETS`` embeddings, a text is the mean of its words, and a linear softmax over that
+mean gives the chance of being toxic. Misspelt and inflected words share n-grams with
+the words that taught them. As a few words hardly move the mean of a long text, the
+same softmax is also applied to the mean of every ``STRETCH`` consecutive words, and the
+worst stretch is a second input of the score. In training, after a first pass over whole
+texts, every text is represented by the stretch that is worst under the model so far, clean
+texts by a drawn one and as a whole too; gradients flow into the embeddings and the
+softmax alike. The model is the mean of ``FOLDS`` models that each leave out a part of the
+sample; a logistic curve over both logits, fitted to what they say about that part, gives the score.
 
 Training uses a bounded, hash-drawn sample of labelled documents (``PER_LABEL`` of each
 label). As the softmax is linear, scoring needs one number per bucket.
 
 Cases: null, empty and wordless texts have score 0; documents with a null label do not teach, documents with contradicting labels
-teach both; with one label only every text gets a constant score (1 or 0); repeated rows are
-scored each; further columns are ignored.
+teach both; with one label only every text gets a constant score (1 or 0); with a single example of a
+label no part can be left out, and the worst stretch alone decides, uncalibrated; repeated rows are scored each; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ BUCKETS = 1 << 18
 DIM = 12
 ORDERS = (3, 4, 5)
 STRETCH = 3
-LEAST_HELD = 20
+FOLDS = 3
 PER_LABEL = 2000
 THRESHOLD = 0.3
 LEAST_EPOCHS, LEAST_STEPS = 6, 300  # few examples are passed over more often
@@ -105,7 +106,7 @@ def cut_words(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 class Model:
     bucket_scores: np.ndarray  # difference of the two logits per bucket
     bias: float
-    slope: float = 1.0
+    slopes: tuple[float, float] = (0.0, 1.0)  # of the logits of the text and of its worst stretch
     shift: float = 0.0
     constant: float | None = None
 
@@ -128,17 +129,20 @@ class Model:
             cache.update(zip(part, means.tolist(), strict=True))
         return np.fromiter(map(cache.__getitem__, words), dtype=np.float64, count=len(words))
 
-    def worst(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Logit of the worst stretch of every row, and which rows have no word."""
+    def logits(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of every row: of its mean and of its worst stretch; and which rows have no word."""
         words, places, limits = cut_words(column)
         scores = self.word_scores(words)[places] if len(places) else np.empty(0)
-        return worst_stretch(scores, limits)[0] + self.bias, np.diff(limits) == 0
+        counts = np.diff(limits)
+        total = np.concatenate(([0.0], np.cumsum(scores)))
+        mean = (total[limits[1:]] - total[limits[:-1]]) / np.maximum(counts, 1)
+        return np.column_stack((mean, worst_stretch(scores, limits)[0])) + self.bias, counts == 0
 
     def score(self, column: pa.Array) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(column), self.constant)
-        logits, wordless = self.worst(column)
-        return np.where(wordless, 0.0, 1 / (1 + np.exp(-np.clip(self.slope * logits + self.shift, -40, 40))))
+        logits, wordless = self.logits(column)
+        return np.where(wordless, 0.0, 1 / (1 + np.exp(-np.clip(logits @ np.array(self.slopes) + self.shift, -40, 40))))
 
 
 def worst_stretch(scores: np.ndarray, limits: np.ndarray, size: int = STRETCH) -> tuple[np.ndarray, np.ndarray]:
@@ -201,19 +205,24 @@ def _gradient_pass(
 
 
 def fit(texts: list[str | None], targets: np.ndarray, epochs: int | None = None, seed: int = 3) -> Model:
-    """Trains on texts with targets 0 and 1; every fifth of each target only calibrates."""
+    """Trains on texts with targets 0 and 1: the mean of models that each leave out a fold, calibrated by what they say about it."""
     if len(np.unique(targets)) < 2:
         return Model(np.zeros(BUCKETS, dtype=np.float32), 0.0, constant=float(targets[0]) if len(targets) else 0.0)
-    rank = np.zeros(len(targets), dtype=np.int64)
+    fold = np.zeros(len(targets), dtype=np.int64)
     for target in (0, 1):
-        rank[targets == target] = np.arange((targets == target).sum())
-    held = rank % 5 == 4
-    if targets[held].sum() < LEAST_HELD:  # too few to judge: learn from all, then calibrate on the same
-        held[:] = False
-    model = _fit([t for t, h in zip(texts, held, strict=True) if not h], targets[~held], epochs, seed)
-    judged = held if held.any() else ~held
-    logits, _ = model.worst(pa.array([t for t, j in zip(texts, judged, strict=True) if j], pa.string()))
-    model.slope, model.shift = _calibrate(logits, targets[judged])
+        fold[targets == target] = np.arange((targets == target).sum()) % FOLDS
+    models: list[Model] = []
+    logits, judged = np.zeros((len(targets), 2)), np.zeros(len(targets), dtype=bool)
+    for k in range(FOLDS):
+        own = fold == k
+        if own.any() and len(np.unique(targets[~own])) == 2:
+            models.append(_fit([t for t, o in zip(texts, own, strict=True) if not o], targets[~own], epochs, seed))
+            logits[own], wordless = models[-1].logits(pa.array([t for t, o in zip(texts, own, strict=True) if o], pa.string()))
+            judged[own] = ~wordless
+    models = models or [_fit(texts, targets, epochs, seed)]
+    model = Model(np.mean([m.bucket_scores for m in models], axis=0, dtype=np.float32), float(np.mean([m.bias for m in models])))
+    if len(np.unique(targets[judged])) == 2:
+        model.slopes, model.shift = _calibrate(logits[judged], targets[judged])
     return model
 
 
@@ -249,19 +258,20 @@ def _fit(texts: list[str | None], targets: np.ndarray, epochs: int | None, seed:
     return Model((embeddings @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def _calibrate(logits: np.ndarray, targets: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic curve of least loss with smoothed targets, by Newton steps."""
+def _calibrate(logits: np.ndarray, targets: np.ndarray) -> tuple[tuple[float, float], float]:
+    """Slopes and shift of the logistic curve of least loss with smoothed targets, by Newton steps."""
     positive = targets.sum()
     smooth = np.where(targets == 1, (positive + 1) / (positive + 2), 1 / (len(targets) - positive + 2))
-    scale = max(float(np.abs(logits).mean()), 1e-9)
+    scale = np.maximum(np.abs(logits).mean(axis=0), 1e-9)
     x = np.column_stack((logits / scale, np.ones(len(logits))))
-    w = np.array([1.0, 0.0])
+    start = np.array([0.0, 1.0, 0.0])
+    w = start.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hessian, x.T @ (p - smooth) + 1e-3 * (w - [1.0, 0.0]))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(3)
+        step = np.linalg.solve(hessian, x.T @ (p - smooth) + 1e-3 * (w - start))
         w = w - np.clip(step, -2, 2)
-    return float(w[0] / scale), float(w[1])
+    return (float(w[0] / scale[0]), float(w[1] / scale[1])), float(w[2])
 
 
 def train(
