@@ -1,14 +1,16 @@
 """Jaccard self-join on word shingles by chosen paths, and the groups that its links form.
 
 1. Every text becomes its set of word shingles. Equal sets are one class with a
-   member count, so copies are never paired. A class is drawn into a fixed number
-   of min-hash tokens, fresh ones for each run and each level.
-2. In every run the classes are split recursively: a bucket hands a class on to
-   the child named by its token there, with a chance also to a second child, so
-   that a pair at the threshold shares one child on average. Buckets with few
-   classes stop: their classes are compared by token agreement. Only buckets that
-   are still large are split further. Runs are repeated until a pair at the
-   threshold is met with the target recall (``runs_for``).
+   member count, so copies are never paired. Of each class ``TOKENS`` min-hash tokens
+   are drawn, which two classes share as often as their Jaccard similarity says.
+2. In every run the classes are split recursively. A bucket is a path of tokens chosen
+   so far; a hash of the path draws which token names the child that a class goes to, and
+   for one path in ``SECOND_CHANCE`` a second token and child, so that a pair at the
+   threshold shares one child on average. Buckets with few classes stop: their classes
+   are compared by token agreement. Only buckets that are still large are split further, as
+   deep as the number of classes asks for (``levels_for``). Runs are repeated until a pair at
+   the threshold is met with the target recall at that depth (``runs_for``), even if it
+   shares ``SPREAD`` standard deviations fewer tokens than its similarity promises.
 3. What a bucket finds similar becomes links of a candidate graph (at most one
    per class and bucket, never all pairs). Classes of one candidate component are
    then compared exactly, in blocks, on their whole shingle sets.
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,7 +44,9 @@ from paysignal.session import stage
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
-LEVELS = 4
+TOKENS = 128
+SPREAD = 2.0
+FAR = 0.2  # unrelated texts share at most this part of their shingles: each split leaves about a quarter of their meetings
 SMALL_BUCKET = 128
 BLOCK = 512
 SECOND_CHANCE = 4  # one bucket in four opens a second child
@@ -58,8 +62,14 @@ def meeting_chance(similarity: float, levels: int) -> float:
     return chance
 
 
-def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, levels: int = LEVELS) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - meeting_chance(threshold, levels)))
+def levels_for(n_classes: int, small: int = SMALL_BUCKET) -> int:
+    """Splits after which unrelated classes no longer fill buckets of more than ``small``."""
+    return 1 + max(math.ceil(math.log(max(n_classes, 1) / small) / -math.log(FAR * (1 + 1 / SECOND_CHANCE))), 1)
+
+
+def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, levels: int = 2) -> int:
+    least = max(threshold - SPREAD * math.sqrt(threshold * (1 - threshold) / TOKENS), 0.1)
+    return math.ceil(math.log(1 - recall) / math.log(1 - meeting_chance(least, levels)))
 
 
 def _sets(data: np.ndarray, limits: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,14 +127,20 @@ def signatures(docs: DataFrame, id_column: str, text_column: str, size: int, n_t
     return keyed.mapInArrow(tidy(run, HOLDER), schema)
 
 
-def _children(rows: DataFrame, level: int, levels: int) -> DataFrame:
-    """Children of (run, bucket) for each class: tokens of the run and level, a second one by the bucket's own draw."""
-    place = F.col("run") * (2 * levels) + 2 * level + 1
-    first = F.xxhash64("run", "bucket", F.lit(level), F.lit(0), F.element_at("tokens", place.cast("int")))
-    second = F.xxhash64("run", "bucket", F.lit(level), F.lit(1), F.element_at("tokens", (place + 1).cast("int")))
-    opens = F.pmod(F.xxhash64("run", "bucket", F.lit(level), F.lit(2)), F.lit(SECOND_CHANCE)) == 0
-    child = F.explode(F.when(opens, F.array(first, second)).otherwise(F.array(first)))
-    return rows.select("node", "run", child.alias("bucket"))
+def _children(rows: DataFrame, level: int) -> DataFrame:
+    """Children of the path ``bucket`` (it names its run, too) for each class: the path draws the token that names the child."""
+    def drawn(salt: int) -> Column:
+        return F.pmod(F.xxhash64("bucket", F.lit(level), F.lit(salt)), F.lit(TOKENS)).cast("int")
+
+    def child(place: Column) -> Column:
+        return F.xxhash64("bucket", place, F.element_at("tokens", place + 1))
+
+    # the second token is another one than the first
+    second = F.pmod(F.col("first") + 1 + F.pmod(drawn(1), F.lit(TOKENS - 1)), F.lit(TOKENS)).cast("int")
+    opens = F.pmod(F.xxhash64("bucket", F.lit(level), F.lit(2)), F.lit(SECOND_CHANCE)) == 0
+    rows = rows.withColumn("first", drawn(0))
+    children = F.when(opens, F.array(child(F.col("first")), child(second))).otherwise(F.array(child(F.col("first"))))
+    return rows.select("node", F.explode(children).alias("bucket"))
 
 
 def _bucket_links(least_agreement: float):
@@ -158,11 +174,10 @@ def _bucket_links(least_agreement: float):
 def candidate_links(classes: DataFrame, runs: int, levels: int, threshold: float, small: int = SMALL_BUCKET) -> DataFrame:
     """Links (a, b) between classes that some bucket found alike; ``classes`` has node and tokens."""
     spark = classes.sparkSession
-    rows = classes.select("node", "tokens", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"),
-                          F.lit(0).cast("long").alias("bucket"))
+    rows = classes.select("node", "tokens", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).cast("long").alias("bucket"))
     found = None
     for level in range(levels):
-        rows = stage(_children(rows, level, levels), "paths")
+        rows = stage(_children(rows, level), "paths")
         sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
         met = stage(spread_join(rows, sizes, "bucket"), "buckets")
         few = met.filter(F.col("size") <= small).select("node", "bucket")
@@ -176,7 +191,7 @@ def candidate_links(classes: DataFrame, runs: int, levels: int, threshold: float
             least = large.groupBy("bucket").agg(F.min("node").alias("a"))
             found = found.unionByName(spread_join(large, least, "bucket").select("a", F.col("node").alias("b")))
         else:
-            rows = large.select("node", "run", "bucket").join(classes.select("node", "tokens"), "node")
+            rows = large.select("node", "bucket").join(classes.select("node", "tokens"), "node")
     return found if found is not None else spark.createDataFrame([], "a long, b long")
 
 
@@ -248,16 +263,16 @@ def _shingles(docs: DataFrame, size: int) -> DataFrame:
 
 def jaccard_groups(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SHINGLE,
-    threshold: float = THRESHOLD, recall: float = RECALL, levels: int = LEVELS, small: int = SMALL_BUCKET, block: int = BLOCK,
+    threshold: float = THRESHOLD, recall: float = RECALL, small: int = SMALL_BUCKET, block: int = BLOCK,
 ) -> DataFrame:
     """One row per document: id, class_id, n_links, kept, and the row keys ``_k1`` and ``_k2``."""
-    runs = runs_for(recall, threshold, levels)
-    rows = stage(signatures(docs, id_column, text_column, size, runs * 2 * levels), "signatures")
+    rows = stage(signatures(docs, id_column, text_column, size, TOKENS), "signatures")
     # the first member is the one with the least id; nulls last
     who = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), "_k1", "_k2")
     classes = stage(rows.filter("node IS NOT NULL").groupBy("node", "check", "tokens").agg(
         F.count(F.lit(1)).alias("members"), F.min(who).alias("least")), "classes")
-    links = candidate_links(classes.select("node", "tokens"), runs, levels, threshold, small)
+    levels = levels_for(classes.count(), small)
+    links = candidate_links(classes.select("node", "tokens"), runs_for(recall, threshold, levels), levels, threshold, small)
     groups = stage(components(links), "candidates")
     # exact comparison within candidate components, in blocks of about ``block`` classes
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n"))

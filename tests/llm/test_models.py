@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -224,3 +225,25 @@ def test_training_without_any_page(spark):
     model = html_extraction.train(spark.createDataFrame([], "page_id long, html string"))
     page = read_page(f"<article>{ARTICLE}</article>")
     assert html_extraction.main_text(page, model.log_odds(html_extraction.features(page)))
+
+
+@pytest.mark.parametrize("source", ["<div>" * 100_000 + "x", "</div>" * 100_000 + "x", "<div><p>" + "</ul>" * 100_000 + "x", "<p><div>" * 50_000 + "x"])
+def test_reader_is_linear_in_depth_and_stray_tags(source):
+    began = time.process_time()
+    page = read_page(source)
+    assert time.process_time() - began < 5 and [t for t in page.text if t] == ["x"]
+
+
+def test_reader_closes_within_the_nearest_container():
+    page = read_page("<ul><li>a<ul><li>b<li>c</ul><li>d</ul><table><tr><td>e<p>f<td>g<tr><td>h</table></section>")
+    shown = {page.text[i]: (page.tag[page.parent[i]], page.tag[page.parent[page.parent[i]]]) for i in range(len(page.tag)) if not page.tag[i]}
+    assert shown == {"a": ("li", "ul"), "b": ("li", "ul"), "c": ("li", "ul"), "d": ("li", "ul"), "e": ("td", "tr"), "f": ("p", "td"),
+                     "g": ("td", "tr"), "h": ("td", "tr")}
+
+
+def test_toxicity_fit_with_few_examples():
+    texts = ["a bad grunthead here"] + [f"plain words number {w} only" for w in ("one", "two", "three", "four")]
+    for n_toxic in (1, 2):
+        model = toxicity.fit(texts[:1] * n_toxic + texts[1:], np.array([1] * n_toxic + [0] * 4))
+        score = model.score(pa.array(["grunthead bad grunthead here", "plain words only", None], pa.string()))
+        assert score[0] > score[1] and score[2] == 0 and (n_toxic > 1) == (model.slopes != (0.0, 1.0))

@@ -136,7 +136,10 @@ def test_jaccard_groups_match_brute_force(spark, docs, small, block):
 
 
 def test_jaccard_runs_and_empty_input(empty):
-    assert 1 - (1 - ngram_join.meeting_chance(0.8, 4)) ** ngram_join.runs_for(0.999, 0.8, 4) >= 0.999
+    depths = [ngram_join.levels_for(n) for n in (0, 1000, 10**6, 10**10)]
+    assert depths == sorted(depths) and depths[0] == 2 and depths[-1] > depths[1]
+    for levels in depths:
+        assert 1 - (1 - ngram_join.meeting_chance(0.8, levels)) ** ngram_join.runs_for(0.999, 0.8, levels) >= 0.999
     assert ngram_join.jaccard_groups(empty).count() == 0
 
 
