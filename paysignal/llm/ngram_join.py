@@ -174,7 +174,7 @@ def _bucket_links(least_agreement: float):
 def candidate_links(classes: DataFrame, runs: int, levels: int, threshold: float, small: int = SMALL_BUCKET) -> DataFrame:
     """Links (a, b) between classes that some bucket found alike; ``classes`` has node and tokens."""
     spark = classes.sparkSession
-    rows = classes.select("node", "tokens", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).cast("long").alias("bucket"))
+    rows = classes.select("node", "tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(runs - 1).cast("long"))).alias("bucket"))
     found = None
     for level in range(levels):
         rows = stage(_children(rows, level), "paths")
