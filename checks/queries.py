@@ -57,11 +57,22 @@ def _ingest_all(spark: SparkSession, inbox: str, table: str, checkpoint: str) ->
     ingest.supervise(query)
 
 
+# Messages of a delivered file, some 60 MB of text.
+FILE_MESSAGES = 200_000
+
+
+def _deliver(spark: SparkSession, sf_dir: str, inbox: str, batches: int) -> int:
+    """Messages as equal files of bounded size; returns how many of them make one of ``batches`` batches."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()  # from the footers
+    per_batch = max(-(-events // (batches * FILE_MESSAGES)), 1)
+    messages(spark, sf_dir).repartition(batches * per_batch).write.text(inbox)
+    return per_batch
+
+
 def bronze_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Timed batches of at most one file each, stopped by the time limit, then the rest with the same checkpoint."""
+    """Timed batches of a quarter of the files each, stopped by the time limit, then the rest with the same checkpoint."""
     table, inbox, checkpoint = _new_bronze_table(configure(spark), "bronze_timed")
-    messages(spark, sf_dir).repartition(4).write.text(inbox)
-    stream = ingest.message_stream(spark, "text", path=inbox, max_per_trigger=1)
+    stream = ingest.message_stream(spark, "text", path=inbox, max_per_trigger=_deliver(spark, sf_dir, inbox, 4))
     query = ingest.start_ingest(ingest.bronze_rows(stream), table, checkpoint, interval_seconds=1, query_name=table)
     ingest.supervise(query, timeout_seconds=8)
     _ingest_all(spark, inbox, table, checkpoint)
@@ -69,10 +80,9 @@ def bronze_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What timed batches of one file each report: how many batches had messages, and how many messages."""
+    """What timed batches of a quarter of the files each report: how many batches had messages, and how many messages."""
     table, inbox, checkpoint = _new_bronze_table(configure(spark), "bronze_progress")
-    messages(spark, sf_dir).repartition(4).write.text(inbox)
-    stream = ingest.message_stream(spark, "text", path=inbox, max_per_trigger=1)
+    stream = ingest.message_stream(spark, "text", path=inbox, max_per_trigger=_deliver(spark, sf_dir, inbox, 4))
     query = ingest.start_ingest(ingest.bronze_rows(stream), table, checkpoint, interval_seconds=1, query_name=table)
     query.processAllAvailable()
     ingest.supervise(query, timeout_seconds=1)
@@ -87,8 +97,7 @@ def bronze_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, inbox = f"bronze_by_day_{root[-32:]}", f"{root}/inbox"
     parts = ("event_date", tables.BATCH_COLUMN)
     tables.ensure_table(spark, table, ingest.by_day_schema(BRONZE_SCHEMA), f"{root}/table", partition_by=parts)
-    messages(spark, sf_dir).repartition(2).write.text(inbox)
-    stream = ingest.message_stream(spark, "text", path=inbox, max_per_trigger=1)
+    stream = ingest.message_stream(spark, "text", path=inbox, max_per_trigger=_deliver(spark, sf_dir, inbox, 2))
     query = ingest.start_ingest_by_day(ingest.bronze_rows(stream), table, f"{root}/checkpoint", drain=True, query_name=table)
     ingest.supervise(query)
     last = max(ingest.batch_sizes(query), default=0)

@@ -214,3 +214,13 @@ def test_versions_lie_below_the_warehouse_and_other_providers_are_refused(spark)
     other = f"other_{uuid.uuid4().hex}"
     spark.range(5).write.format("json").saveAsTable(other)
     assert tables.compact_table(spark, other) is False and spark.table(other).count() == 5
+
+
+def test_delivered_files_grow_in_number_not_in_size(spark, sf_dir, tmp_path, monkeypatch):
+    from checks import queries
+
+    monkeypatch.setattr(queries, "FILE_MESSAGES", 100)
+    inbox = str(tmp_path / "inbox")
+    per_batch = queries._deliver(spark, sf_dir, inbox, 2)
+    rows = [r["count"] for r in spark.read.text(inbox).groupBy(F.input_file_name()).count().collect()]
+    assert per_batch == 5 and len(rows) == 10 and max(rows) < 130
