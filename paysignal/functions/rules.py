@@ -32,7 +32,8 @@ DEFAULT_RULES = (
 
 def reasons(rules: tuple[Rule, ...] = DEFAULT_RULES) -> Column:
     """Names of the rules that fire, in rule order."""
-    return F.array_compact(F.array(*[F.when(r.fires(), F.lit(r.reason)) for r in rules]))
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(r.fires(), F.array(F.lit(r.reason))).otherwise(none) for r in rules])
 
 
 def risk_score(rules: tuple[Rule, ...] = DEFAULT_RULES) -> Column:

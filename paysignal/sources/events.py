@@ -23,8 +23,12 @@ def _padded(prefix: str, number, width: int):
 
 
 def payments_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed Bronze rows (event time still text) with an ingestion time."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    """Typed Bronze rows (event time still text) with an ingestion time.
+
+    A Parquet file is read by as many tasks as it has row groups, often one. The narrow
+    events are therefore spread before the payments are derived from them.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").repartition("event_id")
     event_id, user_id = F.col("event_id"), F.col("user_id")
     micros = F.unix_micros(F.col("ts").cast("timestamp")) - EPOCH_START * 1_000_000
     base = events.select(
@@ -41,20 +45,18 @@ def payments_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     country, k = F.col("country"), F.col("k")
     clock = F.concat(F.date_format(F.timestamp_seconds("s"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
-    def copy(condition, prefix: str, time, delay: int):
-        made = F.struct(F.lit(prefix).alias("prefix"), time.alias("event_time"), F.lit(delay).alias("delay"))
-        return made if condition is None else F.when(condition, made)
+    def copy(condition, prefix: str, parses: bool, delay: int):
+        made = F.array(F.struct(F.lit(prefix).alias("prefix"), F.lit(parses).alias("parses"), F.lit(delay).alias("delay")))
+        return made if condition is None else F.when(condition, made).otherwise(F.slice(made, 1, 0))
 
-    copies = F.array_compact(
-        F.array(
-            copy(None, "", clock, 5),
-            copy(event_id % 50 == 0, "", clock, 65),
-            copy(event_id % 97 == 0, "bad-", F.lit("not-a-date"), 5),
-        )
+    copies = F.concat(
+        copy(None, "", True, 5),
+        copy(event_id % 50 == 0, "", True, 65),
+        copy(event_id % 97 == 0, "bad-", False, 5),
     )
     shared_device = F.when(event_id % 5 == 0, user_id % 20).otherwise(100 + F.floor(user_id / 3))
     return base.select("*", F.inline(copies)).select(
-        "event_time",
+        F.when(F.col("parses"), clock).otherwise("not-a-date").alias("event_time"),
         F.concat("prefix", _padded("pay-", event_id, 12)).alias("payment_id"),
         _padded("grp-", F.floor(event_id / 2), 12).alias("payment_group_id"),
         _padded("cust-", F.floor(user_id / 2), 5).alias("customer_id"),

@@ -124,3 +124,19 @@ def test_investigations_plan_few_shuffles(shuffled, sf_dir):
     stored = layers(shuffled, sf_dir).stored_graph
     for query in (graph.risky_merchants, graph.device_clusters):
         assert physical(query(stored, "late")).count("Exchange hashpartitioning") <= 15
+
+
+def test_events_are_spread_before_payments_are_derived(spark, sf_dir):
+    from checks.sources import payments_from_events
+
+    plan = text(payments_from_events(spark, sf_dir))
+    # nearer to the scan comes later: the derivation runs behind the shuffle, whatever row groups the file has
+    assert plan.index("Generate") < plan.index("Exchange") < plan.index("Scan parquet")
+
+
+def test_bronze_and_gold_are_not_written_again(spark, sf_dir):
+    from checks.sources import layers
+
+    base = layers(spark, sf_dir)
+    assert "events.parquet" in base.bronze.inputFiles()[0]
+    assert set(base.gold.inputFiles()) == set(base.silver.inputFiles())
