@@ -100,14 +100,14 @@ def decode_table(lengths: np.ndarray, most: int = MAX_BITS) -> tuple[np.ndarray,
 
 def encode_ids(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bit string, first bit highest, and the bit offset of every block."""
-    n = lengths[ids].astype(np.int64)
+    n = lengths.astype(np.int64)[ids]
     ends = np.cumsum(n)
     starts = ends - n
     if not len(ids):
         return b"", starts[::BLOCK]
     words = np.zeros(int(ends[-1] >> 6) + 2, dtype=np.uint64)
     word, bit = starts >> 6, (starts & 63).astype(np.uint64)
-    value = codes[ids] << (np.uint64(64) - n.astype(np.uint64))
+    value = (codes << (np.uint64(64) - lengths.astype(np.uint64)))[ids]  # shifted once per id; unused ones are never looked up
     first = np.flatnonzero(np.diff(word, prepend=-1))
     words[word[first]] = np.bitwise_or.reduceat(value >> bit, first)
     over = np.flatnonzero((starts & 63) + n > 64)
@@ -133,6 +133,8 @@ def decode_ids(payload: bytes, offsets: np.ndarray, n: int, table: tuple[np.ndar
 
 
 CHUNK_SCHEMA = "part int, chunk int, before long, n_ids int, docs binary, payload binary, offsets binary"
+# beside plain chunks: how often a task met each id, 64 bits each, in the last chunk of the task
+_PLAIN_SCHEMA = f"{CHUNK_SCHEMA}, counts binary"
 
 
 def _tokenise(docs: DataFrame, id_column: str, text_column: str, vocabulary: str, end_id: int) -> DataFrame:
@@ -143,16 +145,19 @@ def _tokenise(docs: DataFrame, id_column: str, text_column: str, vocabulary: str
         chunk = before = held = 0
         keys: list[np.ndarray] = []
         parts: list[np.ndarray] = []
+        total = np.zeros(IDS, dtype=np.int64)
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush(last: bool = False) -> Iterator[pa.RecordBatch]:
             nonlocal chunk, before, held
-            if not parts:
+            if not parts and not (last and chunk):
                 return
-            index = np.concatenate(keys).astype("<i8").tobytes()
-            payload = np.concatenate(parts).astype("<u2").tobytes()
+            index = np.concatenate(keys).astype("<i8").tobytes() if keys else b""
+            payload = np.concatenate(parts) if parts else np.empty(0, dtype="<u2")
+            total[:] += np.bincount(payload, minlength=IDS)
             yield pa.RecordBatch.from_pylist([{
-                "part": part, "chunk": chunk, "before": before, "n_ids": held, "docs": index, "payload": payload,
-                "offsets": b""}], schema=_ARROW)
+                "part": part, "chunk": chunk, "before": before, "n_ids": held, "docs": index,
+                "payload": payload.astype("<u2", copy=False).tobytes(), "offsets": b"",
+                "counts": total.astype("<i8").tobytes() if last else None}], schema=_PLAIN)
             chunk, before, held = chunk + 1, before + held, 0
             keys.clear()
             parts.clear()
@@ -177,21 +182,22 @@ def _tokenise(docs: DataFrame, id_column: str, text_column: str, vocabulary: str
                     first = stop
                     if held >= CHUNK_IDS:
                         yield from flush()
-        yield from flush()
+        yield from flush(last=True)
 
-    return docs.select(F.col(id_column).cast("long"), text_column).mapInArrow(tidy(run, HOLDER), CHUNK_SCHEMA)
+    return docs.select(F.col(id_column).cast("long"), text_column).mapInArrow(tidy(run, HOLDER), _PLAIN_SCHEMA)
 
 
 _ARROW = pa.schema([
     ("part", pa.int32()), ("chunk", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int32()), ("docs", pa.binary()),
     ("payload", pa.binary()), ("offsets", pa.binary())])
+_PLAIN = _ARROW.append(pa.field("counts", pa.binary()))
 
 
 def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(IDS, dtype=np.int64)
     for batch in batches:
-        for payload in batch.column(0):
-            total += np.bincount(np.frombuffer(payload.as_buffer(), dtype="<u2"), minlength=IDS)
+        for counts in batch.column(0):
+            total += np.frombuffer(counts.as_buffer(), dtype="<i8")
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
@@ -216,8 +222,9 @@ def write_ids(
     ordered = ordered.repartitionByRange(parts, "id").sortWithinPartitions("id")
     plain = fresh_path(spark, "plain_ids")
     _tokenise(ordered, "id", "text", vocabulary, end_id).write.options(compression="zstd", **_ROW_GROUP).parquet(plain)
-    staged = spark.read.schema(CHUNK_SCHEMA).parquet(plain)
-    counted = staged.select("payload").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    every = spark.read.schema(_PLAIN_SCHEMA).parquet(plain)
+    staged = every.drop("counts").filter("n_ids > 0")
+    counted = every.select("counts").filter("counts IS NOT NULL").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.zeros(IDS, dtype=np.int64)
     for row in counted.collect():  # at most one row per id of the vocabulary
         counts[row.id] = row.n

@@ -340,3 +340,13 @@ def test_quality_counts_and_thresholds(spark, docs, empty):
     assert few < fewer and abs(more - fewer) < 0.02
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+
+
+def test_ids_are_counted_where_they_are_made(spark, docs):
+    rows = docs.select("doc_id", "text").repartitionByRange(3, "doc_id")
+    plain = huffman_ids._tokenise(rows, "doc_id", "text", vocabulary_path("byte_bpe_50k.json"), 2).collect()
+    counted = {r.part: int(np.frombuffer(r.counts, dtype="<i8").sum()) for r in plain if r.counts is not None}
+    ids = {}
+    for r in plain:
+        ids[r.part] = ids.get(r.part, 0) + r.n_ids
+    assert counted == ids
