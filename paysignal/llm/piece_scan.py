@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paysignal.llm.rows import KEYS, row_keys
+from paysignal.llm.task_memory import holders, tidy
 from paysignal.llm.unit_tokens import GLUED, UnitEncoder
 from paysignal.llm.words import row_slices, text_buffers
 from paysignal.session import stage
@@ -383,6 +384,15 @@ class Decoder:
 
 _units: dict[str, PieceUnits] = {}
 _decoders: dict[str, Decoder] = {}
+HOLDER = "pieces"
+
+
+def forget() -> None:
+    _units.clear()
+    _decoders.clear()
+
+
+holders[HOLDER] = forget
 
 
 def units_of(path: str) -> PieceUnits:
@@ -404,8 +414,12 @@ def pieces(path: str) -> Pieces:
     return units_of(path).pieces
 
 
-def _giants(docs: DataFrame, text_column: str, path: str, chunk: int) -> DataFrame:
-    """(_k1, _k2, ids, n_chunks) of the texts that are longer than a chunk."""
+def _giants(docs: DataFrame, text_column: str, path: str, chunk: int) -> DataFrame | None:
+    """(_k1, _k2, ids, n_chunks) of the texts that are longer than a chunk; None without such a text.
+
+    Its tasks run beside those of the short texts, in workers of their own; they read the vocabulary only for rows and drop
+    it at their end, so that an executor holds the caches of few workers.
+    """
     shown = F.concat(F.lit(SPACE), F.replace(F.col(text_column), F.lit(" "), F.lit(SPACE)))
     long = docs.filter(F.length(text_column) >= chunk).select(*KEYS, shown.alias("shown")).dropDuplicates(KEYS)
     n = F.ceil(F.length("shown") / chunk).cast("int")
@@ -416,12 +430,14 @@ def _giants(docs: DataFrame, text_column: str, path: str, chunk: int) -> DataFra
                     F.least(F.lit(margin), F.col("number") * chunk) + chunk + margin).alias("part"),
         F.least(F.lit(chunk), F.length("shown") - F.col("number") * chunk).alias("size"))
     rows = stage(rows.repartition(*KEYS, "number"), "chunks")
+    if rows.isEmpty():
+        return None
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pieces(path)
-        if vocabulary.longest > margin:
-            raise ValueError("pieces are longer than the context of a chunk")
         for batch in batches:
+            vocabulary = pieces(path)
+            if vocabulary.longest > margin:
+                raise ValueError("pieces are longer than the context of a chunk")
             found = []
             for row in batch.select(["part", "before", "size", "number"]).to_pylist():
                 first, last = row["before"], row["before"] + row["size"]
@@ -447,13 +463,13 @@ def _giants(docs: DataFrame, text_column: str, path: str, chunk: int) -> DataFra
             "_k1": key[0], "_k2": key[1], "number": group["number"].to_numpy(), "entry": entry,
             "leaving_at": [s[0] for s in path_[1:]], "leaving": [s[1] for s in path_[1:]]})
 
-    small = rows.mapInArrow(matrices, "_k1 long, _k2 long, number int, matrix string")
+    small = rows.mapInArrow(tidy(matrices, after=forget), "_k1 long, _k2 long, number int, matrix string")
     states = small.groupBy(*KEYS).applyInPandas(
         scan, "_k1 long, _k2 long, number int, entry int, leaving_at int, leaving string")
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pieces(path)
         for batch in batches:
+            vocabulary = pieces(path)
             ids = [
                 vocabulary.trace_chunk(
                     r["part"], r["before"], r["before"] + r["size"], r["number"] == 0, r["entry"], (r["leaving_at"], r["leaving"]),
@@ -463,7 +479,7 @@ def _giants(docs: DataFrame, text_column: str, path: str, chunk: int) -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in (*KEYS, "number")), pa.array(wide, pa.binary())], names=[*KEYS, "number", "ids"])
 
-    traced = rows.join(states, [*KEYS, "number"]).mapInArrow(trace, "_k1 long, _k2 long, number int, ids binary")
+    traced = rows.join(states, [*KEYS, "number"]).mapInArrow(tidy(trace, after=forget), "_k1 long, _k2 long, number int, ids binary")
     ordered = F.array_sort(F.collect_list(F.struct("number", "ids")))
     joined = F.aggregate(ordered, F.lit(b""), lambda a, x: F.concat(a, x["ids"]))
     return traced.groupBy(*KEYS).agg(F.count(F.lit(1)).cast("int").alias("n_chunks"), joined.alias("ids"))
@@ -506,9 +522,11 @@ def encode(
                     more.append(_shown(path, raw))
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*names, "ids", "n_chunks", "decoded"][: len(names) + len(more)])
 
-    small = plain.filter(~giant).mapInArrow(run, schema)
-    large = keyed.filter(giant).join(_giants(keyed, text_column, path, chunk), KEYS).select(*names, "ids", "n_chunks")
-    every = small.unionByName(decode(large, path) if with_decoded else large)
+    every = plain.filter(~giant).mapInArrow(tidy(run, HOLDER), schema)
+    found = _giants(keyed, text_column, path, chunk)
+    if found is not None:
+        large = keyed.filter(giant).join(found, KEYS).select(*names, "ids", "n_chunks")
+        every = every.unionByName(decode(large, path) if with_decoded else large)
     return every.withColumn("n_pieces", (F.octet_length("ids") / 4).cast("long"))
 
 
@@ -530,4 +548,4 @@ def decode(coded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
             texts = _shown(path, batch.column(place).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*names, "decoded"])
 
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(tidy(run, after=forget), schema)

@@ -350,3 +350,14 @@ def test_ids_are_counted_where_they_are_made(spark, docs):
     for r in plain:
         ids[r.part] = ids.get(r.part, 0) + r.n_ids
     assert counted == ids
+
+
+def test_short_texts_need_no_tasks_for_long_ones(spark):
+    rows = spark.createDataFrame([(1, "a few words"), (2, None), (3, "more, and more words")], "doc_id long, text string")
+    path = vocabulary_path("piece_bpe_32k.model")
+    short = piece_scan.encode(rows, path, with_decoded=True)
+    assert "FlatMapGroupsInPandas" not in short._jdf.queryExecution().toString()
+    mixed = piece_scan.encode(rows, path, chunk=15, with_decoded=True)
+    assert "FlatMapGroupsInPandas" in mixed._jdf.queryExecution().toString()
+    shown = lambda df: sorted((r.doc_id, bytes(r.ids), r.decoded) for r in df.collect())
+    assert shown(short) == shown(mixed)
