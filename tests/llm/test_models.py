@@ -247,3 +247,16 @@ def test_toxicity_fit_with_few_examples():
         model = toxicity.fit(texts[:1] * n_toxic + texts[1:], np.array([1] * n_toxic + [0] * 4))
         score = model.score(pa.array(["grunthead bad grunthead here", "plain words only", None], pa.string()))
         assert score[0] > score[1] and score[2] == 0 and (n_toxic > 1) == (model.slopes != (0.0, 1.0))
+
+
+@pytest.mark.parametrize("toxic", [20, 1, 0])
+def test_toxicity_is_fitted_in_tasks(spark, monkeypatch, toxic):
+    rows = [(i, int(i % 2 and i < 2 * toxic), ("you awful rotten fool" if i % 2 else "a kind and sunny day") + f" number {i % 7}") for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, m) for i, m, _ in rows], "doc_id long, toxic int")
+    ordered = sorted(rows, key=lambda r: str(r[0]))
+    expected = toxicity.fit([r[2] for r in ordered], np.array([r[1] for r in ordered]))
+    monkeypatch.setattr(toxicity, "fit", None)  # nothing is fitted on the driver
+    found = toxicity.train(docs, labels)
+    assert np.array_equal(found.bucket_scores, expected.bucket_scores)
+    assert (found.bias, found.slopes, found.shift) == (expected.bias, expected.slopes, expected.shift)
