@@ -19,16 +19,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from paysignal.llm.task_memory import holders
+from paysignal.llm.words import text_buffers
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CACHE_UNITS = 500_000
 _CALL_CHARS = 1 << 18
+_CALL_WORDS = 32
 _FIRST, GLUED = "\x00", "\x02"
 # Marks that often follow a word; they are units of their own, so that fewer units differ.
 _MARKS = (",", ".")
 # White space that only some of the involved libraries know as such.
 _UNUSUAL = ("\x00", "\x02", "\x1c", "\x1d", "\x1e", "\x1f")
+_IS_UNUSUAL = np.zeros(32, dtype=bool)
+_IS_UNUSUAL[[ord(c) for c in _UNUSUAL]] = True
 
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -42,6 +46,8 @@ def _shown_bytes() -> dict[int, int]:
 
 _SHOWN = _shown_bytes()
 _SHOWN_SPACE = chr(_SHOWN[32])
+_SHOWN_CODES = np.array([_SHOWN.get(b, b) for b in range(256)], dtype="<u2")
+_SHOWN_END = chr(_SHOWN[0])
 
 
 class UnitEncoder:
@@ -66,6 +72,12 @@ class UnitEncoder:
         self.model = self.tokenizer.model
         self.older: dict[str, bytes | bool] = {}
         self.tails: dict[str, bytes] = {}
+        # Words may be merged in one string if no token but its own holds the character between them.
+        vocabulary = self.tokenizer.get_vocab()
+        self.end_id = vocabulary.get(_SHOWN_END)
+        self.words_apart = keeps_space and self.end_id is not None and not self.model.ignore_merges and not any((
+            self.model.continuing_subword_prefix, self.model.end_of_word_suffix)) and not any(
+            _SHOWN_END in token and token != _SHOWN_END for token in vocabulary)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -89,18 +101,19 @@ class UnitEncoder:
         if len(self.cache) > self.cache_units // 2:
             self.older, self.cache = self.cache, {}
         found = list(map(self.cache.get, units))
-        if None not in found:
-            return found
+        missing = [i for i, ids in enumerate(found) if ids is None]
         new = []
-        for unit, ids in zip(units, found, strict=True):
+        for i in missing:
+            unit = units[i]
+            ids = self.older.get(unit)
             if ids is None:
-                ids = self.older.get(unit)
-                if ids is None:
-                    new.append(unit)
-                else:
-                    self.cache[unit] = ids
+                new.append(unit)
+            else:
+                self.cache[unit] = ids
         self._learn(new)
-        return list(map(self.cache.__getitem__, units))
+        for i in missing:
+            found[i] = self.cache[units[i]]
+        return found
 
     def _simple(self, unit: str) -> bytes | None:
         """Ids of letters followed by plain punctuation: two pieces that merge apart."""
@@ -121,14 +134,46 @@ class UnitEncoder:
             shown = _SHOWN_SPACE + shown
         found = array("H", [t.id for t in self.model.tokenize(shown)]).tobytes()
         if len(word) < len(unit):
-            tail = unit[len(word) :]
-            if tail not in self.tails:
-                self.tails[tail] = self.whole(tail).tobytes()
-            found += self.tails[tail]
+            found += self._tail(unit[len(word) :])
         return self.newline + found if lead == "\n" else found
 
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            self.tails[tail] = self.whole(tail).tobytes()
+        return self.tails[tail]
+
+    def _learn_words(self, units: list[str]) -> list[str]:
+        """Adds units of letters followed by plain punctuation, many words in one call of the model; returns the others."""
+        words, rest, known, lengths = [], [], [], []
+        for unit in units:
+            word = unit.rstrip(_PUNCTUATION)
+            if word.isalpha():
+                words.append(" " + word)
+            elif unit[:1] in (_FIRST, "\n") and word[1:].isalpha():
+                words.append(word[1:])
+            else:
+                rest.append(unit)
+                continue
+            known.append(unit)
+            lengths.append(len(word))  # without punctuation
+        for i in range(0, len(words), _CALL_WORDS):
+            raw = np.frombuffer("\x00".join(words[i : i + _CALL_WORDS]).encode(), dtype=np.uint8)
+            shown = _SHOWN_CODES[raw].tobytes().decode("utf-16-le")
+            ids = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u2")
+            ends = (2 * np.flatnonzero(ids == self.end_id)).tolist()
+            raw, a = ids.tobytes(), 0
+            for unit, n, b in zip(known[i : i + _CALL_WORDS], lengths[i : i + _CALL_WORDS], [*ends, len(raw)], strict=True):
+                found = raw[a:b]
+                a = b + 2
+                if n < len(unit):
+                    found += self._tail(unit[n:])
+                self.cache[unit] = self.newline + found if unit[0] == "\n" else found
+        return rest
+
     def _learn(self, units: list[str]) -> None:
         """Adds new units; False for those whose ids depend on their neighbours."""
+        if self.words_apart:
+            units = self._learn_words(units)
         sure, size = [], 0
         for unit in units:
             if unit[:1] == GLUED:
@@ -167,13 +212,15 @@ class UnitEncoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a text column and the limits of its rows in them; null counts as empty."""
         texts = pc.fill_null(column, "")
-        unusual = pc.match_substring(texts, _UNUSUAL[0])
-        for c in _UNUSUAL[1:]:
-            unusual = pc.or_(unusual, pc.match_substring(texts, c))
-        empty = pc.equal(pc.binary_length(texts), 0)
-        cut = self._units(pc.if_else(unusual, "", texts))
+        data, rows = text_buffers(texts)
+        low = np.flatnonzero(data < len(_IS_UNUSUAL))
+        unusual = np.zeros(len(texts), dtype=bool)
+        unusual[np.searchsorted(rows, low[_IS_UNUSUAL[data[low]]], side="right") - 1] = True
+        empty = np.diff(rows) == 0
+        cut = self._units(pc.if_else(pa.array(unusual), "", texts) if unusual.any() else texts)
         coded = cut.flatten().dictionary_encode()
-        units, index = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        index = coded.indices.to_numpy(zero_copy_only=False)
         limits = np.asarray(cut.offsets, dtype=np.int64)
         limits = limits - limits[0]
         found = self._found(units)
@@ -181,15 +228,10 @@ class UnitEncoder:
         if False in found:
             unsure = np.array([f is False for f in found], dtype=bool)
             found = [f or b"" for f in found]
-        held = pa.array(found, pa.binary())
-        sizes = np.diff(np.frombuffer(held.buffers()[1], dtype=np.int32)[: len(found) + 1]).astype(np.int64) // 2
-        flat = np.frombuffer(held.buffers()[2] or b"", dtype="<u2")
-        starts = np.cumsum(sizes) - sizes
-        n = sizes[index] if len(index) else np.empty(0, dtype=np.int64)
-        before = np.concatenate(([0], np.cumsum(n)))
-        ids = flat[np.repeat(starts[index] - before[:-1], n) + np.arange(before[-1])] if len(index) else flat[:0]
+        raw, before = text_buffers(pa.array(found, pa.large_binary()).take(coded.indices))
+        ids, before = raw.view("<u2"), before // 2
         bounds = before[limits]
-        whole = unusual.to_numpy(zero_copy_only=False)
+        whole = unusual
         if len(index) and unsure.any():
             marks = np.concatenate(([0], np.cumsum(unsure[index])))[limits]
             whole = whole | (np.diff(marks) > 0)
@@ -200,9 +242,9 @@ class UnitEncoder:
             bad[1:] &= ~fine[index[:-1]]
             if bad.any():
                 whole = whole | (np.diff(np.concatenate(([0], np.cumsum(bad)))[limits]) > 0)
-        whole = whole & ~empty.to_numpy(zero_copy_only=False)
+        whole = whole & ~empty
         rows = np.flatnonzero(whole)
-        clear = empty.to_numpy(zero_copy_only=False) & (np.diff(bounds) > 0)
+        clear = empty & (np.diff(bounds) > 0)
         if not len(rows) and not clear.any():
             return ids, bounds
         parts = [ids[bounds[i] : bounds[i + 1]] for i in range(len(texts))]

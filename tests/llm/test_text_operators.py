@@ -9,11 +9,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from paysignal.llm import huffman_ids, ngram_join, packing, piece_scan, quality, substring_dedup
 from paysignal.llm.rows import components, vocabulary_path
+from paysignal.llm.unit_tokens import UnitEncoder
 from paysignal.session import fresh_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -361,3 +363,33 @@ def test_short_texts_need_no_tasks_for_long_ones(spark):
     assert "FlatMapGroupsInPandas" in mixed._jdf.queryExecution().toString()
     shown = lambda df: sorted((r.doc_id, bytes(r.ids), r.decoded) for r in df.collect())
     assert shown(short) == shown(mixed)
+
+
+def test_new_words_share_calls_of_the_model(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.calls = model, 0
+
+        def tokenize(self, text):
+            self.calls += 1
+            return self.model.tokenize(text)
+
+    rng = random.Random(5)
+    made = ["".join(rng.choice("abcdeéßñ漢Σ") for _ in range(rng.randint(1, 12))) for _ in range(3200)]
+    texts = ["", "a", *(" ".join(w + rng.choice(("", "", ",", "!!", "\n")) for w in made[i : i + 100]) for i in range(0, 3200, 100))]
+    coder = UnitEncoder(vocabulary_path("byte_bpe_50k.json"), True)
+    coder.model = Counted(coder.model)
+    ids, bounds = coder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [library_ids("byte_bpe_50k.json", t) for t in texts]
+    assert 0 < coder.model.calls <= len(made) // 16
+
+    # a vocabulary that merges across the character between words: each word has a call of its own
+    symbols = sorted(pre_tokenizers.ByteLevel.alphabet())
+    tiny = Tokenizer(models.BPE(vocab={s: i for i, s in enumerate([*symbols, "Āa"])}, merges=[("Ā", "a")]))
+    tiny.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tiny.save(str(tmp_path / "tiny.json"))
+    coder = UnitEncoder(str(tmp_path / "tiny.json"), True)
+    assert not coder.words_apart
+    assert coder.encode(pa.array(["a a\na"]))[0].tolist() == tiny.encode("a a\na").ids
