@@ -37,6 +37,7 @@ from paysignal.session import fresh_path
 MAX_BITS = 16
 BLOCK = 256
 CHUNK_IDS = 1 << 18
+_STEP = 1 << 15  # ids encoded at a time, whole blocks
 IDS = 1 << 16
 _PART_BYTES = 32 << 20
 _SLICE_BYTES = 6 << 20
@@ -100,19 +101,25 @@ def decode_table(lengths: np.ndarray, most: int = MAX_BITS) -> tuple[np.ndarray,
 
 def encode_ids(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bit string, first bit highest, and the bit offset of every block."""
-    n = lengths.astype(np.int64)[ids]
-    ends = np.cumsum(n)
-    starts = ends - n
-    if not len(ids):
-        return b"", starts[::BLOCK]
-    words = np.zeros(int(ends[-1] >> 6) + 2, dtype=np.uint64)
-    word, bit = starts >> 6, (starts & 63).astype(np.uint64)
-    value = (codes << (np.uint64(64) - lengths.astype(np.uint64)))[ids]  # shifted once per id; unused ones are never looked up
-    first = np.flatnonzero(np.diff(word, prepend=-1))
-    words[word[first]] = np.bitwise_or.reduceat(value >> bit, first)
-    over = np.flatnonzero((starts & 63) + n > 64)
-    words[word[over] + 1] |= value[over] << (np.uint64(64) - bit[over])
-    return words.astype(">u8").tobytes()[: int(ends[-1] + 7) >> 3], starts[::BLOCK]
+    # both of an id in one number: its code shifted to the top, its length (0: unused, never looked up) below
+    both = (codes << (np.uint64(64) - lengths.astype(np.uint64))) | lengths.astype(np.uint64)
+    words = np.zeros((len(ids) * MAX_BITS >> 6) + 2, dtype=np.uint64)
+    offsets, total = [np.empty(0, dtype=np.int64)], 0
+    for i in range(0, len(ids), _STEP):
+        value = both.take(ids[i : i + _STEP])
+        n = (value & np.uint64(255)).astype(np.int64)
+        value &= ~np.uint64(255)
+        ends = np.cumsum(n) + total
+        starts = ends - n
+        offsets.append(starts[::BLOCK])
+        total = int(ends[-1])
+        word, at = starts >> 6, starts & 63
+        bit = at.astype(np.uint64)
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        words[word[first]] |= np.bitwise_or.reduceat(value >> bit, first)
+        over = np.flatnonzero(at + n > 64)
+        words[word[over] + 1] |= value[over] << (np.uint64(64) - bit[over])
+    return words[: (total >> 6) + 1].astype(">u8").tobytes()[: (total + 7) >> 3], np.concatenate(offsets)
 
 
 def decode_ids(payload: bytes, offsets: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:

@@ -144,30 +144,38 @@ class UnitEncoder:
 
     def _learn_words(self, units: list[str]) -> list[str]:
         """Adds units of letters followed by plain punctuation, many words in one call of the model; returns the others."""
-        words, rest, known, lengths = [], [], [], []
+        words, rest, known, marked = [], [], [], []
         for unit in units:
             word = unit.rstrip(_PUNCTUATION)
             if word.isalpha():
                 words.append(" " + word)
+                if len(word) < len(unit):
+                    marked.append(len(known))
             elif unit[:1] in (_FIRST, "\n") and word[1:].isalpha():
                 words.append(word[1:])
+                marked.append(len(known))
             else:
                 rest.append(unit)
                 continue
             known.append(unit)
-            lengths.append(len(word))  # without punctuation
+        if not words:
+            return rest
+        ids = array("H")
         for i in range(0, len(words), _CALL_WORDS):
             raw = np.frombuffer("\x00".join(words[i : i + _CALL_WORDS]).encode(), dtype=np.uint8)
             shown = _SHOWN_CODES[raw].tobytes().decode("utf-16-le")
-            ids = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u2")
-            ends = (2 * np.flatnonzero(ids == self.end_id)).tolist()
-            raw, a = ids.tobytes(), 0
-            for unit, n, b in zip(known[i : i + _CALL_WORDS], lengths[i : i + _CALL_WORDS], [*ends, len(raw)], strict=True):
-                found = raw[a:b]
-                a = b + 2
-                if n < len(unit):
-                    found += self._tail(unit[n:])
-                self.cache[unit] = self.newline + found if unit[0] == "\n" else found
+            ids.extend([t.id for t in self.model.tokenize(shown)])
+            ids.append(self.end_id)
+        raw, ends = ids.tobytes(), np.flatnonzero(np.array(ids, dtype="<u2") == self.end_id) * 2
+        found = [raw[a:b] for a, b in zip([0, *(ends[:-1] + 2).tolist()], ends.tolist(), strict=True)]
+        for i in marked:
+            unit = known[i]
+            n = len(unit.rstrip(_PUNCTUATION))
+            if n < len(unit):
+                found[i] += self._tail(unit[n:])
+            if unit[0] == "\n":
+                found[i] = self.newline + found[i]
+        self.cache.update(zip(known, found, strict=True))
         return rest
 
     def _learn(self, units: list[str]) -> None:

@@ -393,3 +393,16 @@ def test_new_words_share_calls_of_the_model(tmp_path):
     coder = UnitEncoder(str(tmp_path / "tiny.json"), True)
     assert not coder.words_apart
     assert coder.encode(pa.array(["a a\na"]))[0].tolist() == tiny.encode("a a\na").ids
+
+
+@pytest.mark.parametrize("n", [1, huffman_ids._STEP, huffman_ids._STEP + 1, 2 * huffman_ids._STEP + 300])
+def test_blocks_run_on_over_steps(n):
+    rng = np.random.default_rng(n)
+    ids = np.minimum(rng.geometric(0.01, n), 5000).astype(np.uint16)
+    lengths = huffman_ids.code_lengths(np.bincount(ids, minlength=huffman_ids.IDS))
+    codes = huffman_ids.canonical_codes(lengths)
+    payload, offsets = huffman_ids.encode_ids(ids, codes, lengths)
+    bits = "".join(format(codes[i], f"0{lengths[i]}b") for i in ids)
+    assert payload == int(bits.ljust(-(-len(bits) // 8) * 8, "0"), 2).to_bytes(len(payload), "big")
+    assert offsets.tolist() == [0, *np.cumsum(lengths[ids].astype(int))[huffman_ids.BLOCK - 1 : n - 1 : huffman_ids.BLOCK]]
+    assert (huffman_ids.decode_ids(payload, offsets, n, huffman_ids.decode_table(lengths)) == ids).all()
